@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from textloom.llm import chat, decontaminate, packing, quality, secrets
+from textloom.llm import chat, decontaminate, langid, minhash, packing, quality, secrets, toxicity
 
 QUERIES = {
     "op1_chat": chat.op1_chat,
     "op2_secrets": secrets.op2_secrets,
     "op3_decontamination": decontaminate.op3_decontamination,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op6_packing": packing.op6_packing,
+    "op7_minhash": minhash.op7_minhash,
+    "op8_language": langid.op8_language,
     "op10_quality": quality.op10_quality,
 }
 
@@ -16,5 +19,6 @@ ORACLES = {
     "op1_chat": chat.oracle_op1(),
     "op2_secrets": secrets.oracle_op2(),
     "op3_decontamination": decontaminate.oracle_op3(),
+    "op7_minhash": minhash.oracle_op7(),
     "op10_quality": quality.oracle_op10(),
 }
