@@ -4,11 +4,20 @@ Large-star and small-star steps alternate: each node's neighbours are tied to th
 smallest node in reach, until every component is a star around its smallest node.
 A node with very many neighbours costs a partial minimum and a join on its key that
 adaptive execution splits.
+
+``bucket_components`` finds the links to begin with.  Nodes that share a bucket are
+candidates, but a bucket may hold a whole family of like nodes, so pairs within it are not
+listed.  Each member meets the bucket's pivot, the member that shares most buckets with
+others.  Only where a bucket then still holds several components are its members outside
+the largest one compared with the members of other components, all of them: no link that
+could join two components is left out.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.common import written
@@ -43,3 +52,37 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         before = mark
         edges = written(_small_star(written(_large_star(edges), "edges")), "edges")
     raise RuntimeError(f"components have not settled in {most_rounds} rounds")
+
+
+def bucket_components(entries: DataFrame, fits: Callable[[Column, Column], Column], linked: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    """``node``, ``component`` as ``components`` gives them.
+
+    ``entries``: ``band``, ``node`` (long), ``info``.  ``fits``: a cheap necessary condition
+    on two infos.  ``linked(pairs, nodes)``: of the pairs (a < b) those that are linked;
+    ``nodes`` has all nodes that a pair may have.
+    """
+    # one shuffle serves the count and the join
+    by_band = entries.repartition("band")
+    shared = by_band.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
+    members = written(by_band.join(shared, "band"), "members")
+    weights = written(members.groupBy("node").agg(F.sum("size").alias("weight"), F.first("info").alias("info")), "weights")
+    nodes = weights.select("node", "info")
+    weighed = members.drop("info", "size").join(weights, "node")
+    pivots = weighed.groupBy("band").agg(F.max_by(F.struct("node", "info"), F.struct("weight", -F.col("node"))).alias("pivot"))
+    met = members.join(pivots, "band").where((F.col("node") != F.col("pivot.node")) & fits(F.col("info"), F.col("pivot.info")))
+    first = written(met.select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")).distinct(), "pairs")
+    found = components(written(linked(first, nodes), "links"))
+
+    placed = written(members.select("band", "node", "info").join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed")
+    largest = (
+        placed.groupBy("band", "component").agg(F.count("*").alias("own"))
+        .groupBy("band").agg(F.max_by("component", F.struct("own", -F.col("component"))).alias("largest"), F.count("*").alias("parts")).where("parts > 1")
+    )
+    mixed = written(placed.join(largest.select("band", "largest"), "band"), "mixed")
+    outside = mixed.where("component <> largest").select("band", F.col("node").alias("x"), F.col("info").alias("x_info"), F.col("component").alias("x_component"))
+    across = outside.join(mixed.select("band", "node", "info", "component"), "band").where((F.col("x_component") != F.col("component")) & fits(F.col("x_info"), F.col("info")))
+    pairs = across.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
+    more = written(linked(written(pairs, "pairs"), nodes), "links")
+    if more.isEmpty():
+        return found
+    return components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))

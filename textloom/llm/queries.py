@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from textloom.llm import chat, decontaminate, langid, minhash, packing, quality, secrets, toxicity
+from textloom.llm import chat, decontaminate, langid, line_dedup, minhash, packing, quality, secrets, suffix_tree, toxicity
 
 QUERIES = {
     "op1_chat": chat.op1_chat,
     "op2_secrets": secrets.op2_secrets,
     "op3_decontamination": decontaminate.op3_decontamination,
     "op4_toxicity": toxicity.op4_toxicity,
+    "op5_lines": line_dedup.op5_lines,
     "op6_packing": packing.op6_packing,
     "op7_minhash": minhash.op7_minhash,
     "op8_language": langid.op8_language,
+    "op9_suffix_tree": suffix_tree.op9_suffix_tree,
     "op10_quality": quality.op10_quality,
 }
 
