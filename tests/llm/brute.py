@@ -16,7 +16,7 @@ def normal(line: str) -> str:
 
 def simhash(norm: str) -> int:
     hashes = [xxhash.xxh64_intdigest(w.encode(), seed=42) for w in norm.split(" ")]
-    return sum(1 << j for j in range(64) if 2 * sum(h >> j & 1 for h in hashes) > len(hashes))
+    return sum(1 << j for j in range(63) if 2 * sum(h >> j & 1 for h in hashes) > len(hashes))
 
 
 def edits(a: str, b: str) -> int:

@@ -168,9 +168,8 @@ def test_lines_against_brute_force(spark, docs):
 
 def test_simhash(spark):
     norms = ["a", "a b c d", " ".join(f"w{i % 40}" for i in range(600)), "x y x"]
-    words = F.transform(F.split("t", " "), lambda w: F.xxhash64(w))
-    got = spark.createDataFrame([(n,) for n in norms], "t string").select(line_dedup.simhash(words).alias("s")).collect()
-    assert [r["s"] % 2**64 for r in got] == [brute.simhash(n) for n in norms]
+    df = spark.createDataFrame([(i, i, n) for i, n in enumerate(norms)], "doc_id long, line_no int, norm string")
+    assert {r["doc_id"]: r["sim"] for r in line_dedup.simhashes(df).collect()} == {i: brute.simhash(n) for i, n in enumerate(norms)}
 
 
 def test_base_scores(spark, docs):
