@@ -104,3 +104,29 @@ def composite_key(custom_id: Column, separator: str = "_fasc_") -> Column:
 def fold_diacritics(text: Column, marks: str, plain: str) -> Column:
     """Lower case by a table of letters, for ordering."""
     return F.lower(F.translate(text, marks, plain))
+
+
+def markdown_sections(text: Column, titles: list[str]) -> Column:
+    """``map<title, body>`` of the named sections of level 2, without their heading lines."""
+    parts = F.filter(F.split(text, r"(?m)^## ", -1), lambda p: F.split_part(p, F.lit("\n"), F.lit(1)).isin(*titles))
+    return F.map_from_entries(F.transform(parts, lambda p: F.struct(F.split_part(p, F.lit("\n"), F.lit(1)), F.regexp_replace(p, r"^[^\n]*\n?", ""))))
+
+
+def first_match(text: Column, pattern: str, default: Column) -> Column:
+    return F.coalesce(F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")), default)
+
+
+def without_blank_pairs(text: Column) -> Column:
+    """Each pair of blank lines that follow each other removed."""
+    return F.regexp_replace(text, r"(?m)^[^\S\n]*\n[^\S\n]*\n", "")
+
+
+def prompt(template: str, *values: Column) -> Column:
+    """A template with %s for each value."""
+    return F.format_string(template, *values)
+
+
+def batch_request(custom_id: Column, system: str, text: Column, limit: int) -> Column:
+    """A request of a batch interface as JSON."""
+    message = F.struct(F.lit("user").alias("role"), text.alias("content"))
+    return F.to_json(F.struct(custom_id.alias("custom_id"), F.struct(F.lit(limit).alias("max_tokens"), F.lit(system).alias("system"), F.array(message).alias("messages")).alias("params")))

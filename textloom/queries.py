@@ -452,3 +452,92 @@ def files_by_text(spark, d):  # S1, A1
 @query("SELECT date_trunc('day', ts) AS day, event_type, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1, 2")
 def events_by_day(spark, d):  # extension
     return table(spark, d, "events").groupBy(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day"), "event_type").agg(F.count("*").alias("n"))
+
+
+PAGES = [(1, 'x name="0012a01" y name="0010c29"'), (2, "none")]
+
+
+@query("SELECT id, first, last FROM " + values([(1, "0010", "0012"), (2, None, None)], "id, first, last"))
+def page_bounds(spark, d):  # S11
+    return inline(spark, PAGES, "id int, html string").select("id", markup.page_bounds(F.col("html")).alias("b")).select("id", "b.*")
+
+
+@query("SELECT * FROM " + values([("a.xml", "正題", "譯者", 3), ("b.xml", "次題", "", 0), ("c.xml", "", "", 0)], "path, title, author, extent"))
+def xml_header_fields(spark, d):  # S2, S3
+    head = '<t><titleStmt><title xml:lang="zh-Hant" level="{0}">{1}</title>{2}</titleStmt><extent>{3}</extent></t>'
+    rows = [("a.xml", head.format("m", "正題", "<author>譯者</author>", "共3卷 12")), ("b.xml", head.format("x", "次題", "", "")), ("c.xml", "<bad")]
+    return markup.xml_headers(inline(spark, rows, "path string, xml string"))
+
+
+DECLARED = [("c1", "unicode", "U+4E00", 0), ("c1", "normalized form", "丁", 0), ("c1", "normalized form", "丙", 1), ("c2", "unicode", "U+20000", 1), ("c2", "normal_unicode", "U+ZZ", 1), ("c3", "other", "x", 0)]
+
+
+@query("SELECT * FROM " + values([("c1", "丁"), ("c2", "\U00020000")], "id, value"))
+def character_map(spark, d):  # S5, C25, A16
+    return markup.character_map(inline(spark, DECLARED, "id string, kind string, value string, file_pos int"))
+
+
+@query("SELECT * FROM " + values([("Intro", "one\n"), ("Notes", "three")], "title, body"))
+def markdown_sections(spark, d):  # S17
+    rows = inline(spark, [("# T\n## Intro\none\n## Other\ntwo\n## Notes\nthree",)], "text string")
+    return rows.select(F.explode(T.markdown_sections(F.col("text"), ["Intro", "Notes"])).alias("title", "body"))
+
+
+@query("SELECT CAST(1 AS INT) AS id, " + values([("\n" + "=" * 40 + "\nFascicle 1: t\n" + "=" * 40 + "\n\n\n## h\n\n  a\n  b\n\n[Dhāraṇī] d\n\np\n",)], "text").replace("(VALUES", "v.text FROM (VALUES", 1))
+def rendered_blocks(spark, d):  # C14
+    rows = inline(spark, [(1, [("juan", "t", "1"), ("heading", "h", ""), ("para", "", ""), ("verse", "a\nb", ""), ("dharani", "d", ""), ("para", "p", "")])], "id int, blocks array<struct<type:string,text:string,n:string>>")
+    return rows.select("id", markup.render_blocks(F.col("blocks")).alias("text"))
+
+
+@query("SELECT doc_id, coalesce(nullif(regexp_extract(text, '([0-9]+)', 1), ''), 'none') AS first_number, 'Translate ' || lang || ': ' || source AS prompt FROM documents")
+def first_numbers_and_prompts(spark, d):  # C32, C33
+    docs = table(spark, d, "documents")
+    return docs.select("doc_id", T.first_match(F.col("text"), "([0-9]+)", F.lit("none")).alias("first_number"), T.prompt("Translate %s: %s", F.col("lang"), F.col("source")).alias("prompt"))
+
+
+@query("SELECT conv_id, turn, '{\"custom_id\":\"' || conv_id || '_' || turn || '\",\"params\":{\"max_tokens\":100,\"system\":\"s\",\"messages\":[{\"role\":\"user\",\"content\":\"' || role || '\"}]}}' AS request FROM conversations")
+def batch_requests(spark, d):  # U5
+    rows = table(spark, d, "conversations")
+    return rows.select("conv_id", "turn", T.batch_request(F.concat_ws("_", F.col("conv_id").cast("string"), F.col("turn").cast("string")), "s", F.col("role"), 100).alias("request"))
+
+
+@query("SELECT conv_id, turn, coalesce(lag(role) OVER (PARTITION BY conv_id ORDER BY turn) = 'system', false) AS after_system FROM conversations")
+def after_heading(spark, d):  # W7
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    return table(spark, d, "conversations").select("conv_id", "turn", F.coalesce(F.lag("role").over(w) == "system", F.lit(False)).alias("after_system"))
+
+
+@query("SELECT source, CAST(max(n_chars) AS BIGINT) AS largest, CAST(count(*) AS BIGINT) AS n FROM documents GROUP BY source")
+def section_sizes(spark, d):  # A12, A17
+    return table(spark, d, "documents").groupBy("source").agg(F.max("n_chars").alias("largest"), F.count("*").alias("n"))
+
+
+@query("SELECT doc_id || chr(9) || lang || chr(9) || source AS line FROM documents WHERE n_chars <= 2000 AND (doc_id IN (1, 2, 3) OR source = 'src1')")
+def catalog_lines(spark, d):  # S7, F2, F4
+    docs = table(spark, d, "documents").where((F.col("n_chars") <= 2000) & (F.col("doc_id").isin(1, 2, 3) | (F.col("source") == "src1")))
+    return docs.select(F.concat_ws("\t", F.col("doc_id").cast("string"), "lang", "source").alias("line"))
+
+
+@query("SELECT c.conv_id, c.turn, l.item_id FROM (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos FROM conversations) c JOIN benchmark l ON l.item_id = c.pos")
+def positional_join(spark, d):  # J12
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    left = table(spark, d, "conversations").select("conv_id", "turn", (F.row_number().over(w) - 1).cast("long").alias("pos"))
+    return left.join(table(spark, d, "benchmark").select("item_id"), F.col("pos") == F.col("item_id")).select("conv_id", "turn", "item_id")
+
+
+@query("SELECT doc_id AS id, lang AS title, CAST(NULL AS VARCHAR) AS url FROM documents UNION ALL SELECT page_id, NULL, url FROM pages")
+def united_catalogs(spark, d):  # X4, X5 (extension)
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("title"))
+    return docs.unionByName(table(spark, d, "pages").select(F.col("page_id").alias("id"), "url"), allowMissingColumns=True)
+
+
+@query("SELECT doc_id FROM documents d WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = 0)")
+def membership_semi(spark, d):  # X3, J5
+    return table(spark, d, "documents").select("doc_id").join(table(spark, d, "labels").where("quality = 0").select("doc_id"), "doc_id", "left_semi")
+
+
+@query("SELECT CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (n_chars > 1000) AS BIGINT) AS kept, CAST(sum(n_chars) FILTER (n_chars > 1000) // 1000 AS BIGINT) AS kilo FROM documents")
+def valid_results(spark, d):  # F12, F13
+    long = F.col("n_chars") > 1000
+    kilo = F.floor(F.sum(F.when(long, F.col("n_chars"))) / 1000).cast("decimal(38,0)")
+    return table(spark, d, "documents").agg(F.count("*").alias("total"), F.count_if(long).alias("kept"), kilo.cast("long").alias("kilo"))
