@@ -62,3 +62,29 @@ def dedup_lines(docs: list[tuple[int, str]]) -> dict[int, str]:
     for doc_id, text in docs:
         out[doc_id] = "\n".join(line for k, line in enumerate(text.split("\n")) if not (n := normal(line)) or first[n] == (doc_id, k) and (doc_id, k) in keep)
     return out
+
+
+def words(text: str | None, pattern: str) -> list[str]:
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(pattern, lowered)
+
+
+def jaccard_groups(docs: list[tuple[int, str | None]]) -> dict[int, int]:
+    """Smallest id in reach by links of 2-word shingle sets of similarity 0.8 or more."""
+    sets = {}
+    for i, t in docs:
+        w = words(t, r"[^\x20\x09-\x0D]+")
+        sets[i] = {tuple(w[k : k + 2]) for k in range(max(1, len(w) - 1))} if w else set()
+    ids = [i for i in sets if sets[i]]
+    links = [(a, b) for x, a in enumerate(ids) for b in ids[x + 1 :] if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    return groups(list(sets), links)
+
+
+def contaminated(text: str | None, items: list[str | None]) -> bool:
+    pattern = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    own = f" {' '.join(words(text, pattern))} "
+    for item in items:
+        w = words(item, pattern)
+        if any(f" {' '.join(w[k : k + 10])} " in own for k in range(max(1, len(w) - 9)) if w):
+            return True
+    return False

@@ -127,17 +127,6 @@ def test_patterns_place_every_piece():
         assert placed == Counter(histogram)
 
 
-def jaccard_groups(docs):
-    sets = {}
-    for i, t in docs:
-        w = "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")
-        w = re.findall(r"[^\x20\x09-\x0D]+", w)
-        sets[i] = {tuple(w[k : k + 2]) for k in range(max(1, len(w) - 1))} if w else set()
-    ids = [i for i in sets if sets[i]]
-    links = [(a, b) for x, a in enumerate(ids) for b in ids[x + 1 :] if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
-    return brute.groups(list(sets), links)
-
-
 def test_near_copies_of_one_text(spark):
     rng = random.Random(3)
     base = [f"w{rng.randrange(500)}" for _ in range(150)]
@@ -146,7 +135,7 @@ def test_near_copies_of_one_text(spark):
         words = [w if rng.random() > 0.03 * (i % 4) else f"x{rng.randrange(10**6)}" for w in base]
         docs.append((i, " ".join(words)))
     got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
-    assert got == jaccard_groups(docs)
+    assert got == brute.jaccard_groups(docs)
 
 
 def test_superminhash_estimates_similarity():
@@ -237,11 +226,3 @@ def test_toxicity_of_misspelt_words():
     score = lambda words: model.bias + sum(of[w.encode()] for w in words) / len(words)
     assert sum(score([*clean(), "grobianers", "schlumpfoo", "xgrobian", "grobiann", "schlumpff"]) > 0 for _ in range(30)) >= 28
     assert sum(score(clean()) > 0 for _ in range(30)) <= 1
-
-
-def test_pipeline(spark):
-    import corpus_pipeline
-
-    assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "line dedup", "near-duplicates", "benchmark decontamination", "packing"]
-    placed = corpus_pipeline.run(spark, DATA).collect()
-    assert placed and {r["doc_id"] for r in placed} <= {r["doc_id"] for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
