@@ -122,7 +122,7 @@ def test_spoken_notes_stay_in_spells(spark):
 def test_catalogue_page(spark):
     html = 'x data-n=\\"2185_56\\">T2185 title a</span> data-n=\\"1_2\\">T0001 b</span>'
     got = one(spark, html, markup.catalogue_entries(F.col("text")))
-    assert [(e["sat_id"], e["volume"], e["t_number"], e["title"]) for e in got] == [("2185", 56, "T2185", "title a"), ("1", 2, "T0001", "b")]
+    assert [(e["web_id"], e["volume"], e["t_number"], e["title"]) for e in got] == [("2185", 56, "T2185", "title a"), ("1", 2, "T0001", "b")]
 
 
 def test_files_by_key(spark, tmp_path):
