@@ -10,8 +10,7 @@ import xxhash
 
 
 def normal(line: str) -> str:
-    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in line)
-    return regex.sub(r"[^\p{L}\p{M}0]+", " ", re.sub("[0-9]+", "0", lowered)).strip(" ")
+    return regex.sub(r"[^\p{L}\p{M}0]+", " ", re.sub("[0-9]+", "0", line.lower())).strip(" ")
 
 
 def simhash(norm: str) -> int:
