@@ -10,7 +10,7 @@ import xxhash
 
 
 def normal(line: str) -> str:
-    return regex.sub(r"[^\p{L}\p{M}0]+", " ", re.sub("[0-9]+", "0", line.lower())).strip(" ")
+    return regex.sub(r"[^\p{L}\p{M}]+", " ", line.lower()).strip(" ")
 
 
 def simhash(norm: str) -> int:
