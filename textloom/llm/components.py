@@ -10,7 +10,10 @@ candidates, but a bucket may hold a whole family of like nodes, so pairs within
 listed.  Each member meets the bucket's pivot, the member that shares most buckets with
 others.  Only where a bucket then still holds several components are its members outside
 the largest one compared with the members of other components, all of them: no link that
-could join two components is left out.
+could join two components is left out.  These are met as pairs, or, where a function for
+it is given, in blocks: buckets of one pivot are one group, its members outside the largest
+component are dealt into blocks, and all members pass by each block once, so nothing is
+made for each pair.
 """
 
 from __future__ import annotations
@@ -22,6 +25,9 @@ from pyspark.sql import functions as F
 
 from textloom.llm.common import written
 
+#: Members that a block holds, on average.
+BLOCK = 256
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -54,12 +60,22 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components have not settled in {most_rounds} rounds")
 
 
-def bucket_components(entries: DataFrame, fits: Callable[[Column, Column], Column], linked: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+def _outside_largest(placed: DataFrame, key: str) -> DataFrame:
+    """Rows of the keys that hold several components; ``outside``: not in the largest."""
+    largest = (
+        placed.groupBy(key, "component").agg(F.count("*").alias("own"))
+        .groupBy(key).agg(F.max_by("component", F.struct("own", -F.col("component"))).alias("largest"), F.count("*").alias("parts"), F.sum("own").alias("size")).where("parts > 1")
+    )
+    return placed.join(largest, key).withColumn("outside", F.col("component") != F.col("largest")).drop("largest", "parts")
+
+
+def bucket_components(entries: DataFrame, fits: Callable[[Column, Column], Column], linked: Callable[[DataFrame, DataFrame], DataFrame], linked_in_blocks: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``node``, ``component`` as ``components`` gives them.
 
     ``entries``: ``band``, ``node`` (long), ``info``.  ``fits``: a cheap necessary condition
     on two infos.  ``linked(pairs, nodes)``: of the pairs (a < b) those that are linked;
-    ``nodes`` has all nodes that a pair may have.
+    ``nodes`` has all nodes that a pair may have.  ``linked_in_blocks(rows)``: links (a, b)
+    between the rows of a (pivot, block) that are ``held`` and all others of it.
     """
     # one shuffle serves the count and the join
     by_band = entries.repartition("band")
@@ -73,16 +89,22 @@ def bucket_components(entries: DataFrame, fits: Callable[[Column, Column], Colum
     first = written(met.select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")).distinct(), "pairs")
     found = components(written(linked(first, nodes), "links"))
 
-    placed = written(members.select("band", "node", "info").join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed")
-    largest = (
-        placed.groupBy("band", "component").agg(F.count("*").alias("own"))
-        .groupBy("band").agg(F.max_by("component", F.struct("own", -F.col("component"))).alias("largest"), F.count("*").alias("parts")).where("parts > 1")
-    )
-    mixed = written(placed.join(largest.select("band", "largest"), "band"), "mixed")
-    outside = mixed.where("component <> largest").select("band", F.col("node").alias("x"), F.col("info").alias("x_info"), F.col("component").alias("x_component"))
-    across = outside.join(mixed.select("band", "node", "info", "component"), "band").where((F.col("x_component") != F.col("component")) & fits(F.col("x_info"), F.col("info")))
-    pairs = across.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    more = written(linked(written(pairs, "pairs"), nodes), "links")
+    placed = members.select("band", "node", "info").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    if linked_in_blocks is None:
+        mixed = written(_outside_largest(written(placed, "placed"), "band"), "mixed")
+        outside = mixed.where("outside").select("band", F.col("node").alias("x"), F.col("info").alias("x_info"), F.col("component").alias("x_component"))
+        across = outside.join(mixed, "band").where((F.col("x_component") != F.col("component")) & fits(F.col("x_info"), F.col("info")))
+        pairs = across.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
+        more = written(linked(written(pairs, "pairs"), nodes), "links")
+    else:
+        groups = written(placed.join(pivots.select("band", F.col("pivot.node").alias("pivot")), "band").select("pivot", "node", "component").distinct(), "groups")
+        # a group of two is the pivot and a member, which have met
+        mixed = written(_outside_largest(groups, "pivot").where("size > 2"), "mixed")
+        blocks = mixed.where("outside").groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_blocks"))
+        dealt = mixed.join(blocks, "pivot")
+        held = dealt.where("outside").select("pivot", F.pmod(F.xxhash64("node"), "n_blocks").cast("int").alias("block"), "node", "component", F.lit(True).alias("held"))
+        passing = dealt.select("pivot", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("block"), "node", "component", F.lit(False).alias("held"))
+        more = written(linked_in_blocks(held.unionByName(passing)), "links")
     if more.isEmpty():
         return found
     return components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))

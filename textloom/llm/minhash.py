@@ -8,12 +8,8 @@ most sets stop after a few ranks.  Here ranks are worked off one after another f
 sets of a batch at once.
 
 Documents with equal sets are one class; only classes go on.  Classes that share the
-values of a band are candidates; one bucket could hold a whole family of near copies, so
-pairs within it are not listed.  Instead each member meets the bucket's pivot, the member
-that shares most buckets with others.  Verified links give components.  Only where a
-bucket still holds several components are its members outside the largest one compared
-with the members of other components, all of them, so no link that could join two
-components is left out.
+values of a band are candidates; ``bucket_components`` says which of them are compared.
+Candidates are verified on their full sets, computed anew from their texts.
 
 With 24 bands of 5 a pair of similarity 0.8 shares no band with probability 0.00007.
 Pairs whose signatures agree in less than ``least_agreement`` places (5 standard
@@ -32,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.common import read, safe_names, ship, text_bytes, written
-from textloom.llm.components import components
+from textloom.llm.components import bucket_components
 
 BANDS, ROWS = 24, 5
 PLACES = BANDS * ROWS
@@ -190,8 +186,8 @@ def least_agreement(percent: int = PERCENT, places: int = PLACES) -> int:
     return math.floor(places * s - 5 * math.sqrt(places * s * (1 - s)))
 
 
-def similar_size(a: str, b: str, percent: int = PERCENT) -> Column:
-    return F.least(F.col(a), F.col(b)) * 100 >= F.greatest(F.col(a), F.col(b)) * percent
+def similar_size(a: Column, b: Column, percent: int = PERCENT) -> Column:
+    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -202,6 +198,58 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
     return pairs.join(left, "a").join(right, "b").where(both * 100 >= (F.size("of_a") + F.size("of_b") - both) * percent).select("a", "b")
 
 
+class Block:
+    """Sets of the held members of a block, by element."""
+
+    def __init__(self, percent: int):
+        self.percent, self.held, self.index = percent, [], None
+
+    def add(self, node: int, component: int, elements: np.ndarray) -> None:
+        self.held.append((node, component, elements))
+
+    def links(self, node: int, component: int, elements: np.ndarray) -> list[tuple[int, int]]:
+        """Held members of other components whose sets are similar enough."""
+        if not self.held:
+            return []
+        if self.index is None:
+            every = np.concatenate([e for _, _, e in self.held])
+            order = np.argsort(every, kind="stable")
+            self.sizes = np.array([len(e) for _, _, e in self.held])
+            self.owner = np.repeat(np.arange(len(self.held)), self.sizes)[order]
+            self.index = every[order]
+        first, last = np.searchsorted(self.index, elements, side="left"), np.searchsorted(self.index, elements, side="right")
+        n = last - first
+        at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+        both = np.bincount(self.owner[at], minlength=len(self.held))
+        near = np.flatnonzero(both * 100 >= (self.sizes + len(elements) - both) * self.percent)
+        return [(self.held[k][0], node) for k in near.tolist() if self.held[k][1] != component]
+
+
+def linked_in_blocks(rows: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links between held and passing members; held ones come first in each block, and are
+    all that a task keeps."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, block = None, Block(percent)
+        for batch in batches:
+            found: list[tuple[int, int]] = []
+            elements = batch.column(5)
+            flat, ends = np.asarray(elements.values), np.asarray(elements.offsets)
+            for i, (pivot, number, passing, node, component) in enumerate(zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True)):
+                if (pivot, number) != key:
+                    key, block = (pivot, number), Block(percent)
+                own = flat[ends[i] : ends[i + 1]]
+                if passing:
+                    found += block.links(node, component, own)
+                else:
+                    block.add(node, component, own)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in range(2)], names=["a", "b"])
+
+    full = rows.join(sets, "node").select("pivot", "block", (~F.col("held")).alias("passing"), "node", "component", "elements")
+    return full.repartition("pivot", "block").sortWithinPartitions("pivot", "block", "passing", "node").mapInArrow(run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` of each row of ``docs``.
 
@@ -215,42 +263,20 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, words: int = WORDS)
     classes = written(
         named.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("places").alias("places")), "classes"
     )
-    entries = classes.select("node", "n", F.explode("bands").alias("band"))
-    shared = entries.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
-    members = written(entries.join(shared, "band"), "members")
-    weights = members.groupBy("node").agg(F.sum("size").alias("weight"))
-    weighed = written(members.join(weights, "node"), "members")
-    sets = written(full_sets(safe_names(docs, "doc_id", "text").join(weights.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"), words), "sets")
     places = classes.select("node", "places")
-
-    def alike(pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) whose signatures agree often enough."""
-        with_places = pairs.join(places.select(F.col("node").alias("a"), F.col("places").alias("of_a")), "a").join(places.select(F.col("node").alias("b"), F.col("places").alias("of_b")), "b")
-        return with_places.where(agreement(F.col("of_a"), F.col("of_b")) >= least_agreement(percent)).select("a", "b")
-
-    pivots = weighed.groupBy("band").agg(F.max_by(F.struct("node", "n"), F.struct("weight", -F.col("node"))).alias("pivot"))
-    met = weighed.join(pivots, "band").select("node", "n", F.col("pivot.node").alias("pivot"), F.col("pivot.n").alias("pivot_n")).where((F.col("node") != F.col("pivot")) & similar_size("n", "pivot_n", percent))
-    first = written(alike(met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()), "pairs")
-    links = written(verified(first, sets, percent), "links")
-    found = components(links)
-
-    # buckets that still hold more than one component
-    of = found.select("node", "component")
-    placed = written(members.select("band", "node", "n").join(of, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed")
-    largest = (
-        placed.groupBy("band", "component").agg(F.count("*").alias("own"))
-        .groupBy("band").agg(F.max_by("component", F.struct("own", -F.col("component"))).alias("largest"), F.count("*").alias("parts")).where("parts > 1")
-    )
-    mixed = written(placed.join(largest, "band").select("band", "node", "n", "component", "largest"), "mixed")
-    outside = mixed.where("component <> largest").select("band", F.col("node").alias("x"), F.col("n").alias("x_n"), F.col("component").alias("x_component"))
-    across = outside.join(mixed, "band").where((F.col("x_component") != F.col("component")) & similar_size("x_n", "n", percent))
-    pairs = across.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    more = written(verified(alike(pairs), sets, percent), "links")
-    if more.isEmpty():
-        final = found
-    else:
-        final = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
-
+    texts = safe_names(docs, "doc_id", "text")
+    made: list[DataFrame] = []
+
+    def linked(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+        """Pairs whose signatures agree often enough and whose full sets are similar."""
+        if not made:
+            made.append(written(full_sets(texts.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"), words), "sets"))
+        signed_pairs = pairs.join(places.select(F.col("node").alias("a"), F.col("places").alias("of_a")), "a").join(places.select(F.col("node").alias("b"), F.col("places").alias("of_b")), "b")
+        alike = signed_pairs.where(agreement(F.col("of_a"), F.col("of_b")) >= least_agreement(percent)).select("a", "b")
+        return verified(alike, made[0], percent).distinct()
+
+    entries = classes.select(F.explode("bands").alias("band"), "node", F.col("n").alias("info"))
+    final = bucket_components(entries, lambda a, b: similar_size(a, b, percent), linked, lambda rows: linked_in_blocks(rows, made[0], percent))
     by_class = classes.select("set_key", "node").join(final, "node", "left").select("set_key", F.coalesce("component", "node").alias("component"))
     joined = signed.select("doc_id", "n_shingles", "set_key").join(by_class, "set_key", "left")
     # a row without id may share a set with others, but is none of theirs
