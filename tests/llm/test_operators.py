@@ -155,6 +155,17 @@ def test_lines_against_brute_force(spark, docs):
     assert got == brute.dedup_lines(docs)
 
 
+def test_edit_similarity(spark):
+    rng = random.Random(2)
+    pairs = [("a b", "a b"), ("a b c d e f", "a b x c d e f"), ("a", "b"), ("a a a", "a a"), ("x y", "y x")]
+    for _ in range(60):
+        w = [f"w{rng.randrange(9)}" for _ in range(rng.randrange(1, 30))]
+        v = [x for x in w if rng.random() > 0.1] + ["w1"] * rng.randrange(2)
+        pairs.append((" ".join(w), " ".join(v) or "z"))
+    df = spark.createDataFrame(pairs, "a string, b string").select("a", "b", line_dedup.edit_similar(F.col("a"), F.col("b")).alias("s"))
+    assert all(r["s"] == (brute.edits(r["a"], r["b"]) <= max(len(r["a"]), len(r["b"])) * 20 // 100) for r in df.collect())
+
+
 def test_simhash(spark):
     norms = ["a", "a b c d", " ".join(f"w{i % 40}" for i in range(600)), "x y x"]
     df = spark.createDataFrame([(i, i, n) for i, n in enumerate(norms)], "doc_id long, line_no int, norm string")
