@@ -6,16 +6,14 @@ import re
 from itertools import combinations
 
 import regex
-import xxhash
 
 
 def normal(line: str) -> str:
-    return regex.sub(r"[^\p{L}\p{M}]+", " ", line.lower()).strip(" ")
+    return regex.sub(r"[^\p{L}\p{M}\p{N}]+", " ", line.lower()).strip(" ")
 
 
-def simhash(norm: str) -> int:
-    hashes = [xxhash.xxh64_intdigest(w.encode(), seed=42) for w in norm.split(" ")]
-    return sum(1 << j for j in range(63) if 2 * sum(h >> j & 1 for h in hashes) > len(hashes))
+def simhash(features: list[int], bits: int) -> int:
+    return sum(1 << j for j in range(bits) if 2 * sum(h >> j & 1 for h in features) > len(features))
 
 
 def edits(a: str, b: str) -> int:
@@ -44,18 +42,17 @@ def groups(nodes: list, links: list[tuple]) -> dict:
 
 
 def dedup_lines(docs: list[tuple[int, str]]) -> dict[int, str]:
+    """By edit similarity alone, of all pairs of lines."""
     first: dict[str, tuple[int, int]] = {}
     for doc_id, text in sorted(docs):
         for k, line in enumerate(text.split("\n")):
             if norm := normal(line):
                 first.setdefault(norm, (doc_id, k))
-    sims = {n: simhash(n) for n in first}
     links = []
     for a, b in combinations(first, 2):
-        if (sims[a] ^ sims[b]).bit_count() <= 3:
-            long = max(len(a), len(b))
-            if min(len(a), len(b)) * 100 >= long * 80 and edits(a, b) <= long * 20 // 100:
-                links.append((first[a], first[b]))
+        long = max(len(a), len(b))
+        if min(len(a), len(b)) * 100 >= long * 80 and edits(a, b) <= long * 20 // 100:
+            links.append((first[a], first[b]))
     keep = set(groups(list(first.values()), links).values())
     out = {}
     for doc_id, text in docs:
@@ -68,12 +65,12 @@ def words(text: str | None, pattern: str) -> list[str]:
     return re.findall(pattern, lowered)
 
 
-def jaccard_groups(docs: list[tuple[int, str | None]]) -> dict[int, int]:
-    """Smallest id in reach by links of 2-word shingle sets of similarity 0.8 or more."""
+def jaccard_groups(docs: list[tuple[int, str | None]], k: int = 2) -> dict[int, int]:
+    """Smallest id in reach by links of sets of k-word shingles of similarity 0.8 or more."""
     sets = {}
     for i, t in docs:
         w = words(t, r"[^\x20\x09-\x0D]+")
-        sets[i] = {tuple(w[k : k + 2]) for k in range(max(1, len(w) - 1))} if w else set()
+        sets[i] = {tuple(w[at : at + k]) for at in range(max(1, len(w) - k + 1))} if w else set()
     ids = [i for i in sets if sets[i]]
     links = [(a, b) for x, a in enumerate(ids) for b in ids[x + 1 :] if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
     return groups(list(sets), links)

@@ -150,9 +150,21 @@ def test_superminhash_estimates_similarity():
     assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.05
 
 
-def test_lines_against_brute_force(spark, docs):
-    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
-    assert got == brute.dedup_lines(docs)
+def test_lines_against_brute_force(spark):
+    """Documents whose lines are near copies of each other's, short and long."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefghijklmnoprstu", k=rng.randrange(2, 9)))
+    bases = [[word() for _ in range(n)] for n in (1, 2, 4, 7, 12, 20, 35, 60)]
+    rows = []
+    for i in range(40):
+        lines = [" ".join(w if rng.random() > 0.04 else word() for w in base).title() + rng.choice(".!?") for base in bases]
+        rows.append((i, "\n".join([*rng.sample(lines, 4), "?!", " ".join(word() for _ in range(15)), "12:30"])))
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = brute.dedup_lines(rows)
+    left = lambda x: sum(t.count("\n") + 1 for t in x.values())
+    lines = sum(t.count("\n") + 1 for _, t in rows)
+    assert lines - left(got) >= 0.95 * (lines - left(want))
+    assert all(set(want[i].split("\n")) <= set(got[i].split("\n")) for i in want)
 
 
 def test_edit_similarity(spark):
@@ -167,9 +179,18 @@ def test_edit_similarity(spark):
 
 
 def test_simhash(spark):
-    norms = ["a", "a b c d", " ".join(f"w{i % 40}" for i in range(600)), "x y x"]
-    df = spark.createDataFrame([(i, i, n) for i, n in enumerate(norms)], "doc_id long, line_no int, norm string")
-    assert {r["doc_id"]: r["sim"] for r in line_dedup.simhashes(df).collect()} == {i: brute.simhash(n) for i, n in enumerate(norms)}
+    rng = random.Random(4)
+    features = [[rng.randrange(-(2**63), 2**63) for _ in range(n)] for n in (1, 2, 3, 60, 127, 128, 500, 8191, 8192)]
+    df = spark.createDataFrame([(i, f) for i, f in enumerate(features)], "i int, f array<long>").select("i", line_dedup.simhash(F.col("f")).alias("sim"))
+    assert {r["i"]: r["sim"] for r in df.collect()} == {i: brute.simhash(f, line_dedup.BITS) for i, f in enumerate(features)}
+
+
+def test_alike(spark):
+    rng = random.Random(4)
+    pairs = [(a := rng.randrange(2**56), a ^ sum(1 << k for k in rng.sample(range(56), n))) for n in range(25) for _ in range(20)]
+    df = spark.createDataFrame(pairs, "a long, b long").select("a", "b", line_dedup.alike(F.col("a"), F.col("b")).alias("x"))
+    same = lambda a, b: any((a ^ b) >> 5 * k & 31 == 0 for k in range(11)) and (a ^ b).bit_count() <= line_dedup.MOST_BITS
+    assert all(r["x"] == same(r["a"], r["b"]) for r in df.collect())
 
 
 def test_base_scores(spark, docs):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -35,11 +36,61 @@ def written(df: DataFrame, name: str) -> DataFrame:
     This cuts the lineage at files that outlive any executor, and makes what
     follows read columns instead of computing them once more for every use.
     """
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    return _written(df, f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}")
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Tables:
+    """Written intermediates of one operator.
+
+    Those of ``written`` are deleted at the end of the ``with`` block or by ``drop``, so
+    only what ``kept`` writes, the tables that the operator's result reads, stays.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{shared_dir(spark)}/tables-{uuid.uuid4().hex}"
+        self.paths: dict[int, str] = {}
+
+    def __enter__(self) -> Tables:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self._delete(self.folder)
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.folder}/{name}-{uuid.uuid4().hex}"
+        made = _written(df, path)
+        self.paths[id(made)] = path
+        self._release()
+        return made
+
+    def kept(self, df: DataFrame, name: str) -> DataFrame:
+        made = written(df, name)
+        self._release()
+        return made
+
+    def drop(self, *made: DataFrame) -> None:
+        """Delete tables of ``written`` that nothing reads any more."""
+        for df in made:
+            self._delete(self.paths.pop(id(df)))
+
+    def _delete(self, path: str) -> None:
+        jvm = self.spark.sparkContext._jvm
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+    def _release(self) -> None:
+        """Spark deletes the shuffle files of a finished step once the driver has
+        collected its garbage, which may otherwise take longer than the operator."""
+        gc.collect(0)
+        self.spark.sparkContext._jvm.System.gc()
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors this package, once per application."""
     sc = spark.sparkContext

@@ -23,7 +23,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import written
+from textloom.llm.common import Tables
 
 #: Members that a block holds, on average.
 BLOCK = 256
@@ -42,25 +42,28 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return tied.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame, tables: Tables, most_rounds: int = 60) -> DataFrame:
     """``node``, ``component`` (smallest node in reach) of every node that isn't itself
     the smallest; ``links`` has columns a, b of comparable values.
 
     Links of a node to itself, repeated links and either direction are fine; no links: no
     rows.
     """
-    edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    edges = tables.written(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     before = None
     for _ in range(most_rounds):
         mark = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
         if mark["n"] == 0 or mark == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
         before = mark
-        edges = written(_small_star(written(_large_star(edges), "edges")), "edges")
+        large = tables.written(_large_star(edges), "edges")
+        small = tables.written(_small_star(large), "edges")
+        tables.drop(edges, large)
+        edges = small
     raise RuntimeError(f"components have not settled in {most_rounds} rounds")
 
 
-def _outside_largest(placed: DataFrame, key: str) -> DataFrame:
+def outside_largest(placed: DataFrame, key: str) -> DataFrame:
     """Rows of the keys that hold several components; ``outside``: not in the largest."""
     largest = (
         placed.groupBy(key, "component").agg(F.count("*").alias("own"))
@@ -69,7 +72,7 @@ def _outside_largest(placed: DataFrame, key: str) -> DataFrame:
     return placed.join(largest, key).withColumn("outside", F.col("component") != F.col("largest")).drop("largest", "parts")
 
 
-def bucket_components(entries: DataFrame, fits: Callable[[Column, Column], Column], linked: Callable[[DataFrame, DataFrame], DataFrame], linked_in_blocks: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def bucket_components(entries: DataFrame, fits: Callable[[Column, Column], Column], linked: Callable[[DataFrame, DataFrame], DataFrame], linked_in_blocks: Callable[[DataFrame], DataFrame], tables: Tables) -> DataFrame:
     """``node``, ``component`` as ``components`` gives them.
 
     ``entries``: ``band``, ``node`` (long), ``info``.  ``fits``: a cheap necessary condition
@@ -80,31 +83,24 @@ def bucket_components(entries: DataFrame, fits: Callable[[Column, Column], Colum
     # one shuffle serves the count and the join
     by_band = entries.repartition("band")
     shared = by_band.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
-    members = written(by_band.join(shared, "band"), "members")
-    weights = written(members.groupBy("node").agg(F.sum("size").alias("weight"), F.first("info").alias("info")), "weights")
+    members = tables.written(by_band.join(shared, "band"), "members")
+    weights = tables.written(members.groupBy("node").agg(F.sum("size").alias("weight"), F.first("info").alias("info")), "weights")
     nodes = weights.select("node", "info")
     weighed = members.drop("info", "size").join(weights, "node")
     pivots = weighed.groupBy("band").agg(F.max_by(F.struct("node", "info"), F.struct("weight", -F.col("node"))).alias("pivot"))
     met = members.join(pivots, "band").where((F.col("node") != F.col("pivot.node")) & fits(F.col("info"), F.col("pivot.info")))
-    first = written(met.select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")).distinct(), "pairs")
-    found = components(written(linked(first, nodes), "links"))
+    first = tables.written(met.select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")).distinct(), "pairs")
+    found = components(tables.written(linked(first, nodes), "links"), tables)
 
     placed = members.select("band", "node", "info").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    if linked_in_blocks is None:
-        mixed = written(_outside_largest(written(placed, "placed"), "band"), "mixed")
-        outside = mixed.where("outside").select("band", F.col("node").alias("x"), F.col("info").alias("x_info"), F.col("component").alias("x_component"))
-        across = outside.join(mixed, "band").where((F.col("x_component") != F.col("component")) & fits(F.col("x_info"), F.col("info")))
-        pairs = across.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-        more = written(linked(written(pairs, "pairs"), nodes), "links")
-    else:
-        groups = written(placed.join(pivots.select("band", F.col("pivot.node").alias("pivot")), "band").select("pivot", "node", "component").distinct(), "groups")
-        # a group of two is the pivot and a member, which have met
-        mixed = written(_outside_largest(groups, "pivot").where("size > 2"), "mixed")
-        blocks = mixed.where("outside").groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_blocks"))
-        dealt = mixed.join(blocks, "pivot")
-        held = dealt.where("outside").select("pivot", F.pmod(F.xxhash64("node"), "n_blocks").cast("int").alias("block"), "node", "component", F.lit(True).alias("held"))
-        passing = dealt.select("pivot", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("block"), "node", "component", F.lit(False).alias("held"))
-        more = written(linked_in_blocks(held.unionByName(passing)), "links")
+    groups = tables.written(placed.join(pivots.select("band", F.col("pivot.node").alias("pivot")), "band").select("pivot", "node", "component").distinct(), "groups")
+    # a group of two is the pivot and a member, which have met
+    mixed = tables.written(outside_largest(groups, "pivot").where("size > 2"), "mixed")
+    blocks = mixed.where("outside").groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_blocks"))
+    dealt = mixed.join(blocks, "pivot")
+    held = dealt.where("outside").select("pivot", F.pmod(F.xxhash64("node"), "n_blocks").cast("int").alias("block"), "node", "component", F.lit(True).alias("held"))
+    passing = dealt.select("pivot", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("block"), "node", "component", F.lit(False).alias("held"))
+    more = tables.written(linked_in_blocks(held.unionByName(passing)), "links")
     if more.isEmpty():
         return found
-    return components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    return components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), tables)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import read, safe_names, ship, text_bytes, written
+from textloom.llm.common import Tables, read, safe_names, ship, text_bytes
 from textloom.llm.components import bucket_components
 
 BANDS, ROWS = 24, 5
@@ -258,10 +258,15 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, words: int = WORDS)
     without doc_id is linked with nothing and stays, its component is null.  Rows that
     share a doc_id are one document.  Ties: the smallest doc_id stands for its component.
     """
-    signed = written(sign(docs, words), "signed")
+    with Tables(docs.sparkSession) as tables:
+        return _near_duplicates(docs, tables, percent, words)
+
+
+def _near_duplicates(docs: DataFrame, tables: Tables, percent: int, words: int) -> DataFrame:
+    signed = tables.written(sign(docs, words), "signed")
     named = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     # equal sets have equal bands; copies are merged before the shuffle
-    classes = written(
+    classes = tables.written(
         named.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("places").alias("places")), "classes"
     )
     places = classes.select("node", "places")
@@ -271,18 +276,19 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, words: int = WORDS)
     def linked(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         """Pairs whose signatures agree often enough and whose full sets are similar."""
         if not made:
-            made.append(written(full_sets(texts.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"), words), "sets"))
+            made.append(tables.written(full_sets(texts.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"), words), "sets"))
         signed_pairs = pairs.join(places.select(F.col("node").alias("a"), F.col("places").alias("of_a")), "a").join(places.select(F.col("node").alias("b"), F.col("places").alias("of_b")), "b")
         alike = signed_pairs.where(agreement(F.col("of_a"), F.col("of_b")) >= least_agreement(percent)).select("a", "b")
         return verified(alike, made[0], percent).distinct()
 
     entries = classes.select(F.explode("bands").alias("band"), "node", F.col("n").alias("info"))
-    final = bucket_components(entries, lambda a, b: similar_size(a, b, percent), linked, lambda rows: linked_in_blocks(rows, made[0], percent))
+    final = bucket_components(entries, lambda a, b: similar_size(a, b, percent), linked, lambda rows: linked_in_blocks(rows, made[0], percent), tables)
     by_class = classes.select("set_key", "node").join(final, "node", "left").select("set_key", F.coalesce("component", "node").alias("component"))
     joined = signed.select("doc_id", "n_shingles", "set_key").join(by_class, "set_key", "left")
     # a row without id may share a set with others, but is none of theirs
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return joined.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    result = joined.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return tables.kept(result, "near-duplicates")
 
 
 def op7_minhash(spark, sf_dir: str) -> DataFrame:
