@@ -56,12 +56,38 @@ def test_no_rows(spark, name):
     assert OPERATORS[name](spark, table(spark, [])).collect() == []
 
 
+STAGES = {"toxicity": toxicity.clean_only, "lines": line_dedup.first_lines, "near": minhash.one_of_each, "decontaminate": decontaminate.uncontaminated}
+KEPT = {"toxicity": {1, 2, 3, 4, 5, 6, 7, 8, None}, "lines": {1, 2, 3, 4, 5, 6, 7, 8, None}, "near": {1, 3, 4, 5, 6, 7, 8, None}, "decontaminate": {3, 4, 5, 6, 7}}
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    d = str(tmp_path_factory.mktemp("tables"))
+    labels(spark, ((1, 0), (2, 0))).write.parquet(f"{d}/labels.parquet")
+    benchmark(spark).where("item_id IS NOT NULL").write.parquet(f"{d}/benchmark.parquet")
+    return d
+
+
+@pytest.mark.parametrize("name", sorted(STAGES))
+def test_stages_on_odd_tables(spark, folder, name):
+    """Nulls, repeated rows, clashing columns and no rows at all."""
+    docs = table(spark, clash=True)
+    after = STAGES[name](spark, docs, folder)
+    assert after.columns == docs.columns
+    rows = after.collect()
+    assert {r["doc_id"] for r in rows} == KEPT[name]
+    assert all(r[c] == "x" for r in rows for c in CLASHING)
+    if name != "lines":
+        assert all(r["text"] in {x[1] for x in ROWS} for r in rows)
+    assert STAGES[name](spark, table(spark, [], clash=True), folder).collect() == []
+
+
 def by_id(df):
     return {r["doc_id"]: r for r in df.collect()}
 
 
 def test_minhash_results(spark):
-    got = by_id(minhash.near_duplicates(table(spark)))
+    got = by_id(minhash.near_duplicates(table(spark), words=2))
     assert {i: r["component_id"] for i, r in got.items()} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5, 6: 6, 7: 7, None: None, 8: 8}
     assert got[3]["n_shingles"] == 0 and got[None]["kept"] and not got[2]["kept"]
 
@@ -88,7 +114,7 @@ def test_decontaminate_results(spark):
 def test_decontaminate_in_blocks(spark):
     whole = by_id(decontaminate.contamination(table(spark), benchmark(spark)))
     blocks = by_id(decontaminate.contamination(table(spark), benchmark(spark), block_windows=2))
-    assert {i: (r["hit"], r["item_ids"]) for i, r in whole.items()} == {i: (r["hit"], r["item_ids"]) for i, r in blocks.items()}
+    assert {i: (r["hit"], r["item_ids"], r["spans"]) for i, r in whole.items()} == {i: (r["hit"], r["item_ids"], r["spans"]) for i, r in blocks.items()}
 
 
 def test_language_of_letterless_texts(spark):

@@ -112,9 +112,23 @@ def benchmark_patterns(benchmark: DataFrame, window: int) -> DataFrame:
     return rows.mapInArrow(run, "pattern binary, item_id long").groupBy("pattern").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+def spans_of(rows: DataFrame) -> DataFrame:
+    """``rows`` (text, hit, ...) with ``spans`` instead of ``text``."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+        for batch in batches:
+            made = [original_spans(t, np.array(h, dtype=np.int64)) if h else [] for t, h in zip(text_bytes(batch.column(0)), batch.column(1).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(made, kind), *batch.columns[1:]], names=["spans", *batch.schema.names[1:]])
+
+    rest = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
+    return rows.mapInArrow(run, "spans array<struct<start:long,end:long>>, " + rest)
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_windows: int = BLOCK_WINDOWS, with_row: bool = False) -> DataFrame:
     """Each row of ``docs`` (doc_id, text) with ``n_words``, ``hit`` (word numbers),
-    ``item_ids`` and ``spans`` (code points of the original text).
+    ``item_ids`` and ``spans`` (code points of the original text, one for each run of hit
+    words); with ``row``, the whole row of ``docs``, if asked for.
 
     A null or empty text has no words and no hit.  Repeated rows are scanned each.  An
     empty benchmark hits nothing; an item without words or id is no item.
@@ -123,7 +137,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     ship(spark)
     patterns = benchmark_patterns(benchmark.where(F.col("item_id").isNotNull()), window)
     n_blocks = max(1, -(-patterns.count() // block_windows))
-    rows = safe_names(docs, "doc_id", "text")
+    rows = docs.select("doc_id", "text", *[F.struct("*").alias("row")] * with_row)
     if n_blocks == 1:
         return scan_documents(rows, [(bytes(r["pattern"]), r["items"]) for r in patterns.collect()])
     # each block reads all rows; a row number from a written table ties its parts together
@@ -132,10 +146,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     parts = None
     for block in range(n_blocks):
         own = [(bytes(r["pattern"]), r["items"]) for r in blocked.where(F.col("block") == block).collect()]
-        part = scan_documents(numbered, own)
+        part = scan_documents(numbered.select("doc_id", "text", "row_id"), own)
         parts = part if parts is None else parts.unionByName(part)
-    merged = lambda name: F.array_sort(F.array_distinct(F.flatten(F.collect_list(name))))
-    return parts.groupBy("row_id").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), merged("hit").alias("hit"), merged("item_ids").alias("item_ids"), merged("spans").alias("spans")).drop("row_id")
+    merged = lambda name: F.array_sort(F.array_distinct(F.flatten(F.collect_list(name)))).alias(name)
+    found = parts.groupBy("row_id").agg(F.first("n_words").alias("n_words"), merged("hit"), merged("item_ids"))
+    # windows of different blocks overlap, so spans follow from all hits together
+    columns = ["doc_id", "n_words", "hit", "item_ids", "spans"] + ["row"] * with_row
+    return spans_of(numbered.join(found, "row_id").select("text", "hit", *(c for c in columns if c not in ("hit", "spans")))).select(*columns)
 
 
 def op3_decontamination(spark, sf_dir: str) -> DataFrame:
@@ -151,10 +168,12 @@ def op3_decontamination(spark, sf_dir: str) -> DataFrame:
 
 
 def uncontaminated(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents without a benchmark passage, all columns kept."""
-    benchmark = read(spark, sf_dir, "benchmark")
-    hit = contamination(docs, benchmark).where(F.size("hit") > 0).select(F.col("doc_id").alias("hit_id")).distinct()
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("hit_id")), "left_anti")
+    """Pipeline stage: the rows without a benchmark passage, as they came.
+
+    Each row is judged by its own text; null and empty texts stay.  Columns of whatever
+    names pass through.  No rows: no rows.
+    """
+    return contamination(docs, read(spark, sf_dir, "benchmark"), with_row=True).where(F.size("hit") == 0).select("row.*")
 
 
 def oracle_op3() -> str:

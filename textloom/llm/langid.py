@@ -25,10 +25,9 @@ from textloom.llm.common import fold_of, read, ship, text_bytes
 
 LONGEST = 32
 HIDDEN = 16
-#: The sample for the fit: rows and segments of a row, for each language, on average.
+#: The sample for the fit: rows of each language on average, and segments of a row at most,
+#: drawn from anywhere in its text.
 ROWS, PER_ROW = 500, 40
-#: Languages at most, the most frequent ones.
-MOST_LANGUAGES = 200
 HELD_OUT = (4, 2)
 UNDETERMINED = "und"
 LETTER = regex.compile(r"\p{L}")
@@ -190,10 +189,10 @@ def sample(docs: DataFrame, languages: dict[str, int]) -> DataFrame:
 
 
 def fit(docs: DataFrame) -> tuple[list[str], Network | None]:
-    """Learned languages and the network; none if no row has a language."""
+    """Learned languages, all that rows name, and the network; none if no row has one."""
     modulus, held = HELD_OUT
     open_to = docs.where((fold_of(F.col("doc_id"), modulus) != held) & F.col("lang").isNotNull())
-    counted = open_to.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
+    counted = open_to.groupBy("lang").agg(F.count("*").alias("n")).collect()
     languages = {r["lang"]: r["n"] for r in counted}
     if not languages:
         return [], None
@@ -250,6 +249,12 @@ def identify(docs: DataFrame, names: list[str], net: Network | None) -> DataFram
 
 
 def language(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``held_out``, ``lang_pred``, ``score`` of each row, repeated ones alike.
+
+    A null text or one without a letter is ``und`` with score 0, as is all if no row that
+    isn't held out names a language; rows without a language aren't learned from.  A tie
+    goes to the first language by name.  No rows: no rows.
+    """
     modulus, held = HELD_OUT
     names, net = fit(docs.select("doc_id", "text", "lang"))
     return identify(docs, names, net).select("doc_id", (fold_of(F.col("doc_id"), modulus) == held).alias("held_out"), "lang_pred", "score")

@@ -33,8 +33,8 @@ from textloom.llm.components import bucket_components
 BANDS, ROWS = 24, 5
 PLACES = BANDS * ROWS
 PERCENT = 80
-#: Words of a shingle: those of op7's contract, and of the pipeline's stage.
-WORDS, STAGE_WORDS = 2, 5
+#: Words of a shingle, and those of op7's contract.
+WORDS, OP7_WORDS = 5, 2
 #: Elements whose permutations are in memory at once, 120 bytes each.
 CHUNK = 300_000
 
@@ -292,12 +292,16 @@ def _near_duplicates(docs: DataFrame, tables: Tables, percent: int, words: int)
 
 
 def op7_minhash(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(read(spark, sf_dir, "documents"), words=WORDS)
+    return near_duplicates(read(spark, sf_dir, "documents"), words=OP7_WORDS)
 
 
 def one_of_each(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the documents that stay, all columns kept; by shingles of five words."""
-    gone = near_duplicates(docs, words=STAGE_WORDS).where(~F.col("kept")).select("doc_id").distinct()
+    """Pipeline stage: the documents that stay, all columns kept; by shingles of five words.
+
+    Rows that share a doc_id are one document and stay or go together; those without an
+    id, and those without words, stay.  No rows: no rows.
+    """
+    gone = near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 

@@ -30,8 +30,8 @@ from textloom.llm.common import fold_of, read, ship, text_bytes
 
 #: Bytes of words: digits, letters (A-Z as a-z), all beyond ASCII.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-#: The sample for the fit: rows of each class at most, bytes of a text at most, words at most.
-TOXIC_ROWS, CLEAN_ROWS, MOST_BYTES = 900, 1500, 200_000
+#: The sample for the fit: labelled rows of each class at most, with their whole texts.
+TOXIC_ROWS, CLEAN_ROWS = 900, 1500
 BUCKETS, SIZE = 1 << 17, 4
 LEAST_Z = 3.0
 #: How strongly vectors are held at where they start.
@@ -72,11 +72,11 @@ class WordLogits(dict):
         return x
 
 
-def distinct_rows(bags: list[Counter]) -> list[int]:
-    """The first of rows that share their two smallest word hashes, as copies mostly do."""
+def distinct_rows(bags: list[Counter], labels: list[int]) -> list[int]:
+    """The first of rows that have the same words as often and the same label."""
     first: dict[tuple, int] = {}
-    for i, bag in enumerate(bags):
-        first.setdefault(tuple(sorted(map(zlib.crc32, bag))[:2]), i)
+    for i, (bag, label) in enumerate(zip(bags, labels, strict=True)):
+        first.setdefault((label, frozenset(bag.items())), i)
     return sorted(first.values())
 
 
@@ -93,7 +93,7 @@ def log_odds(docs_with: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.nd
 def train(texts: list[bytes], labels: list[int], rounds: int = 300, rate: float = 0.03, seed: int = 7) -> Model:
     """Joint fit of bucket vectors and softmax; classes weigh equally."""
     bags = [Counter(t.translate(WORD_BYTES).split()) for t in texts]
-    chosen = [i for i in distinct_rows(bags) if bags[i]]
+    chosen = [i for i in distinct_rows(bags, labels) if bags[i]]
     bags, target = [bags[i] for i in chosen], np.array([labels[i] for i in chosen], dtype=np.int64)
     vectors = np.zeros((BUCKETS, SIZE), dtype=np.float32)
     if len(set(target.tolist())) < 2:
@@ -158,7 +158,7 @@ def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     ordered = lambda x, n: open_to.where(F.col("toxic") == x).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     ids = ordered(1, TOXIC_ROWS).unionByName(ordered(0, CLEAN_ROWS))
     # at most TOXIC_ROWS + CLEAN_ROWS rows
-    return docs.where(F.octet_length("text") <= MOST_BYTES).select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
+    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -166,8 +166,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     return train([t for _, t, _ in rows], [x for _, _, x in rows])
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id``, ``score`` (0 to 1) of each row, over whole texts.
+def score(docs: DataFrame, model: Model, with_row: bool = False) -> DataFrame:
+    """``doc_id``, ``score`` (0 to 1) of each row, over whole texts; with ``row``, the whole
+    row of ``docs``, if asked for.
 
     A text without words (null, empty) has the score of the bias alone.
     """
@@ -182,21 +183,25 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 words = text.translate(WORD_BYTES).split()
                 logit = bias + (math.fsum([of[w] for w in words]) / len(words) if words else 0.0)
                 found.append(1 / (1 + math.exp(-min(700.0, max(-700.0, logit)))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64()), *batch.columns[2:]], names=["doc_id", "score", *batch.schema.names[2:]])
 
     ship(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
+    rows = docs.select("doc_id", "text", *[F.struct("*").alias("row")] * with_row)
+    rest = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
+    return rows.mapInArrow(run, "doc_id long, score double" + rest)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id``, ``held_out``, ``score``, ``predicted`` of each row.
+def toxicity(docs: DataFrame, labels: DataFrame, with_row: bool = False) -> DataFrame:
+    """``doc_id``, ``held_out``, ``score``, ``predicted`` of each row (and ``row``, if asked
+    for).
 
-    Without labels of both classes every document has the score of the labels' share
-    (0.5 at most without any).
+    Each row is scored by its own text, repeated ones alike.  Without labels of both
+    classes every document has the score of the labels' share (0.5 at most without any).
+    Rows whose labels are null, or that have no id, aren't learned from.  No rows: no rows.
     """
     modulus, held = HELD_OUT
-    scored = score(docs, fit(docs, labels))
-    return scored.select("doc_id", (fold_of(F.col("doc_id"), modulus) == held).alias("held_out"), "score", (F.col("score") >= LIMIT).cast("int").alias("predicted"))
+    scored = score(docs, fit(docs, labels), with_row)
+    return scored.select("doc_id", (fold_of(F.col("doc_id"), modulus) == held).alias("held_out"), "score", (F.col("score") >= LIMIT).cast("int").alias("predicted"), *["row"] * with_row)
 
 
 def op4_toxicity(spark, sf_dir: str) -> DataFrame:
@@ -204,6 +209,8 @@ def op4_toxicity(spark, sf_dir: str) -> DataFrame:
 
 
 def clean_only(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that are not predicted toxic, all columns kept."""
-    toxic = toxicity(docs, read(spark, sf_dir, "labels")).where("predicted = 1").select("doc_id").distinct()
-    return docs.join(toxic.withColumnRenamed("doc_id", "toxic_id"), F.col("doc_id").eqNullSafe(F.col("toxic_id")), "left_anti")
+    """Pipeline stage: the rows that are not predicted toxic, as they came.
+
+    Each row is judged by its own text; columns of whatever names pass through.
+    """
+    return toxicity(docs, read(spark, sf_dir, "labels"), with_row=True).where("predicted = 0").select("row.*")
