@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions.text import has_diacritics, term_key
@@ -123,8 +123,7 @@ def sections(entries: DataFrame) -> DataFrame:
 
 def first_wins(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """The first row of each key."""
-    w = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+    return df.groupBy(key).agg(F.min_by(F.struct(*df.columns), F.struct(*order)).alias("__row")).select("__row.*")
 
 
 #: Bold term, parenthetical, definition; fixed format.

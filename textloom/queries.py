@@ -304,15 +304,10 @@ def _classify_sql(x: str) -> str:
     return "CASE " + " ".join(f"WHEN regexp_matches(lower({x}), '{'|'.join(h)}') THEN '{n}'" for n, h in glossary.HINTS) + " ELSE 'doctrinal' END"
 
 
-@query(f"SELECT item_id, {_classify_sql('text')} AS category FROM benchmark UNION ALL SELECT doc_id + 1000000, {_classify_sql('text[1:80]')} FROM documents")
+@query(f"SELECT item_id, {_classify_sql('text')} AS category FROM benchmark UNION ALL SELECT doc_id + 1000000, {_classify_sql('text')} FROM documents")
 def keyword_classify(spark, d):  # C23
     a = table(spark, d, "benchmark").select("item_id", glossary.classify(F.col("text")).alias("category"))
-    return a.unionByName(table(spark, d, "documents").select((F.col("doc_id") + 1000000).alias("item_id"), glossary.classify(F.substring("text", 1, 80)).alias("category")))
-
-
-@query(f"SELECT doc_id AS item_id, {_classify_sql('text')} AS category FROM documents")
-def keyword_classify_whole(spark, d):  # C23, whole texts
-    return table(spark, d, "documents").select(F.col("doc_id").alias("item_id"), glossary.classify(F.col("text")).alias("category"))
+    return a.unionByName(table(spark, d, "documents").select((F.col("doc_id") + 1000000).alias("item_id"), glossary.classify(F.col("text")).alias("category")))
 
 
 @query("SELECT category, CAST(count(*) AS BIGINT) AS n, string_agg(english, ';' ORDER BY lower(english), english) AS terms, CAST(list_position(['" + "','".join(glossary.CATEGORIES) + "'], category) AS BIGINT) AS rank FROM " + values([e[:5] for e in ENTRIES] + [(9, "x", "", "", "unlisted")], "pos, english, chinese, sanskrit, category") + " WHERE category <> 'unlisted' GROUP BY category")
