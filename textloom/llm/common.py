@@ -19,13 +19,15 @@ _SHIPPED: set[str] = set()
 def shared_dir(spark: SparkSession) -> str:
     """Folder that driver and executors share.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Only where that is unset
-    (a test on one machine) is a folder made here.
+    The cluster names it in ``spark.checkpoint.dir``.  Only where that is unset and Spark
+    runs in one process (a test) is a folder made here.
     """
     sc = spark.sparkContext
     if named := sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None):
         return f"{named.rstrip('/')}/{sc.applicationId}"
     if sc.getCheckpointDir() is None:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="textloom-"))
     return sc.getCheckpointDir()
 
