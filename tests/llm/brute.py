@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import re
+import zlib
+from collections import Counter, defaultdict
 from itertools import combinations
 
 import regex
@@ -84,3 +87,38 @@ def contaminated(text: str | None, items: list[str | None]) -> bool:
         if any(f" {' '.join(w[k : k + 10])} " in own for k in range(max(1, len(w) - 9)) if w):
             return True
     return False
+
+
+def suffix_tree_base(texts):
+    """n_tokens, n_known, train_tokens and base score of each id."""
+    own = {i: [*(t or "").encode().lower().split(), None] for i, t in texts}
+    counts = Counter(w for i, ws in own.items() if zlib.crc32(str(i).encode()) % 7 != 2 for w in ws)
+    n = counts.total()
+    below = math.log10(n + len(counts) + 1)
+    return {i: (len(ws), sum(counts[w] > 0 for w in ws), n, math.fsum(math.log10(counts[w] + 1) for w in ws) - below * len(ws)) for i, ws in own.items()}
+
+
+def suffix_tree_scores(texts, depth, least_count, least_gain):
+    """Score of each id: every context counted in a dictionary, each distribution whole."""
+    symbols = {i: b"\n" * depth + b" ".join((t or "").encode().lower().split()) + b"\n" for i, t in texts}
+    after = defaultdict(Counter)
+    for i, s in symbols.items():
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            for at in range(depth, len(s)):
+                for k in range(depth + 1):
+                    after[s[at - k : at]][s[at]] += 1
+    n = after[b""].total()
+    kept = {b"": {x: (after[b""][x] + 1) / (n + 256) for x in range(256)}}
+
+    def longest(context):
+        while context not in kept:
+            context = context[1:]
+        return kept[context]
+
+    for context in sorted((c for c in after if c), key=len):
+        counts, parent = after[context], longest(context[1:])
+        total, kinds = counts.total(), len(counts)
+        gain = sum(c * math.log(c / total / parent[x]) for x, c in counts.items())
+        if total >= least_count and gain >= least_gain * kinds:
+            kept[context] = {x: (counts[x] + kinds * parent[x]) / (total + kinds) for x in range(256)}
+    return {i: math.fsum(math.log10(longest(s[at - depth : at])[s[at]]) for at in range(depth, len(s))) for i, s in symbols.items()}

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from textloom.llm import chat, langid, line_dedup, minhash, packing, secrets, suffix_tree, toxicity
+from textloom.llm.common import Tables
 from textloom.llm.queries import ORACLES, QUERIES
 from textloom.llm.tokens import default_vocabulary, encoder
 
@@ -194,34 +195,44 @@ def test_alike(spark):
 
 
 def test_base_scores(spark, docs):
-    want = suffix_tree.brute_base(docs)
+    want = brute.suffix_tree_base(docs)
     for r in suffix_tree.language_model_scores(spark.createDataFrame(docs, "doc_id long, text string")).collect():
         n, known, total, base = want[r["doc_id"]]
         assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (n, known, total)
         assert math.isclose(r["base_score"], base, rel_tol=1e-9) and r["score"] < 0
 
 
-def test_tree_is_a_distribution_and_scores_as_by_hand(docs):
-    texts = [suffix_tree.padded(suffix_tree.words_of(t.encode())) for _, t in docs[:60]]
-    keys, counts = suffix_tree.merged([suffix_tree.grams_of(b"".join(texts), 0)])
-    levels = []
-    for k in range(suffix_tree.DEPTH, -1, -1):
-        if k < suffix_tree.DEPTH:
-            keys, counts = suffix_tree.merged([(keys & ((1 << (8 * (k + 1))) - 1), counts)])
-        level = {}
-        for key, n in zip(keys.tolist(), counts.tolist()):
-            level.setdefault((key >> 8).to_bytes(k, "big"), np.zeros(256))[key & 255] = n
-        levels.append({c: x for c, x in level.items() if x.sum() >= 30})
-    tree = suffix_tree.grow(levels[::-1], int(counts.sum()))
-    assert np.allclose((10.0**tree.log10).sum(axis=1), 1, atol=1e-4)
-    long = suffix_tree.padded([b"the"] * 700)
-    for text, got in zip([*texts[:5], long], tree.scores([*texts[:5], long])):
-        state, total = 0, 0.0
-        for k, symbol in enumerate(text):
-            if k >= suffix_tree.DEPTH:
-                total += float(tree.log10[state, symbol])
-            state = tree.next[state, symbol]
-        assert math.isclose(got, total, rel_tol=1e-6)
+def test_suffix_tree_by_hand(spark, docs, monkeypatch):
+    texts = [(i, t[:600]) for i, t in docs[:60] if t] + [(1_000, None), (1_001, " "), (1_002, "the " * 900)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    want = brute.suffix_tree_scores(texts, suffix_tree.DEPTH, suffix_tree.LEAST_COUNT, suffix_tree.LEAST_GAIN)
+    assert len({round(x, 6) for x in want.values()}) > 40
+    for entries in (suffix_tree.BLOCK_ENTRIES, 300):
+        monkeypatch.setattr(suffix_tree, "BLOCK_ENTRIES", entries)
+        for r in suffix_tree.language_model_scores(frame).collect():
+            assert math.isclose(r["score"], want[r["doc_id"]], rel_tol=1e-5)
+
+
+def test_suffix_tree_is_a_distribution_and_grows(spark, docs, monkeypatch):
+    sizes = []
+    for n in (40, 160):
+        texts = [suffix_tree.padded(suffix_tree.words_of((t or "").encode())) for _, t in docs[:n]]
+        counts = suffix_tree.grams_of(texts)
+        with Tables(spark) as tables:
+            grams = spark.createDataFrame(list(zip(*(x.tolist() for x in counts), strict=True)), "gram long, n long")
+            root, entries = suffix_tree.grow(grams, tables)
+            trees, block_of = suffix_tree.in_blocks(root, entries)
+            sizes.append(entries.count())
+        tree = trees[0].value
+        contexts = np.unique(counts[0] & ((1 << 48) - 1))[::97]
+        keys = contexts[:, None] | (np.arange(256) << 48)
+        assert np.allclose((10.0 ** tree.log10(keys.ravel()).reshape(keys.shape)).sum(axis=1), 1, atol=1e-4)
+    assert sizes[1] > 1.5 * sizes[0] > 0
+    # parts of any size give the same
+    load = [lambda: tree]
+    whole = suffix_tree.scores(texts, load, block_of)
+    monkeypatch.setattr(suffix_tree, "TOGETHER", 50)
+    assert np.allclose(suffix_tree.scores(texts, load, block_of), whole)
 
 
 def test_language_held_out(spark):
