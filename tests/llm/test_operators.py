@@ -73,6 +73,21 @@ def test_reserved_ids_and_mask(spark):
     assert chat.render(ids[0], default_vocabulary()) == "### user:\nhi \\### x</turn>\n"
 
 
+def test_ledger_is_kept_and_appended(spark, tmp_path):
+    key = "AKIA" + "A" * 16
+    schema = "path long, version int, text string"
+    path = str(tmp_path / "ledger")
+    first = spark.createDataFrame([(1, 1, key), (2, 1, "x"), (3, 1, None)], schema)
+    assert secrets.scan_increment(first, path).count() == 3
+    again = spark.createDataFrame([(1, 1, key), (1, 2, f"{key} b"), (4, 1, "x"), (5, 1, "")], schema)
+    ledger = secrets.scan_increment(again, path)
+    assert ledger.count() == 4 == ledger.select("blob").distinct().count()
+    assert secrets.scan_increment(again.limit(0), path).count() == 4
+    assert secrets.scan_increment(first, path, rules_version=2).where("rules_version = 2").count() == 3
+    found = {(r["path"], r["version"]): [(s["start"], s["end"]) for s in r["spans"]] for r in secrets.findings(first.unionByName(again).distinct(), ledger).collect()}
+    assert found == {(1, 1): [(0, 20)], (1, 2): [(0, 20)], (2, 1): [], (3, 1): [], (4, 1): [], (5, 1): []}
+
+
 def test_ledger_scans_only_what_is_new(spark):
     v1 = spark.createDataFrame([("a", 1, "token=abcdefgh1"), ("b", 1, "token=abcdefgh1"), ("c", 1, "plain")], "path string, version int, text string")
     ledger = secrets.ledger_entries(v1)
