@@ -148,3 +148,15 @@ def test_incremental_run_reads_each_file_once(spark, tmp_path):
 def test_category_precedence(spark):
     for text, want in (("A monk of the city", "person"), ("a heavenly abode", "place"), ("the age of x", "cosmological"), ("x", "doctrinal"), ("realm of rebirth", "place")):
         assert one(spark, text, glossary.classify(F.col("text"))) == want
+
+
+def test_sinks_and_lookups(spark, tmp_path):
+    df = spark.createDataFrame([("T1", "Heart", None, "a\nb"), ("T2", None, "x", "")], "key string, title string, author string, text string")
+    files.write_titled(df, str(tmp_path / "titled"), "key", [F.concat(F.lit("# "), "title"), F.concat(F.lit("Author: "), "author")], "text")
+    back = {r["key"]: r["value"] for r in spark.read.text(str(tmp_path / "titled"), wholetext=True).collect()}
+    assert back == {"T1": "# Heart\n\na\nb\n", "T2": "Author: x\n\n\n"}
+    files.write_catalogue(df, str(tmp_path / "catalogue"))
+    assert sorted(r[0] for r in spark.read.text(str(tmp_path / "catalogue")).collect())[1] == '{"key":"T2","title":null,"author":"x","text":""}'
+    found, missing = catalog.looked_up(df.select("key"), df.where("title IS NOT NULL").select("key", "title"), "key")
+    assert [tuple(r) for r in found.collect()] == [("T1", "Heart")] and [r["key"] for r in missing.collect()] == ["T2"]
+    assert catalog.at_most(df, "key", 0).count() == 2 == catalog.at_most(df, "key", None).count()

@@ -61,3 +61,66 @@ def estimate(n_chars: Column, prompt_chars: int) -> Column:
 def hourly_rate(total: Column, seconds: Column) -> Column:
     """Per hour, half to even; 0 without time."""
     return F.coalesce(F.bround(total / F.nullif(seconds / 3600, F.lit(0.0)), 0), F.lit(0.0))
+
+
+def at_most(work: DataFrame, column: str, most: int | None) -> DataFrame:
+    """Rows up to ``most``; 0 or None is no limit."""
+    return work.where(F.col(column) <= most) if most else work
+
+
+def batch_plan(work: DataFrame, done: DataFrame, key: str, pos: str, group: str, only: str | None, start_key: str, start, size: str, most: int | None) -> DataFrame:
+    """What a batch run works on, in this order: one group (None: all), from the start on,
+    less what is done, at most so large; smallest first."""
+    if only is not None:
+        work = work.where(F.col(group) == only)
+    if start is not None:
+        work = from_start(work, start_key, start, pos)
+    return at_most(outstanding(work, done, key), size, most).orderBy(size, pos)
+
+
+def interactive_plan(work: DataFrame, done: DataFrame, key: str, pos: str, start_key: str, start, size: str, most: int | None) -> DataFrame:
+    """What an interactive run works on: the limit comes before the start, so the first row
+    at or after the start is looked for among small texts only."""
+    work = at_most(work, size, most)
+    if start is not None:
+        work = from_start(work, start_key, start, pos)
+    return outstanding(work, done, key).orderBy(size, pos)
+
+
+def preview(work: DataFrame, order: list[str], most: int) -> DataFrame:
+    """The first rows, each with ``more``, how many the preview leaves out."""
+    rest = work.agg(F.greatest(F.count("*") - most, F.lit(0)).alias("more"))  # one row
+    return work.orderBy(*order).limit(most).crossJoin(F.broadcast(rest))
+
+
+def finished(files: DataFrame, log: DataFrame, key: str) -> DataFrame:
+    """Keys that have a file and an entry in the log."""
+    return files.select(key).join(log.select(key), key, "left_semi").distinct()
+
+
+def looked_up(work: DataFrame, table: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Rows with what the table has for their key, and the rows that miss it, to be warned of."""
+    return work.join(table, key), outstanding(work, table, key)
+
+
+def by_rank(rows: DataFrame, category: str, ranks: list[str], *then: Column) -> DataFrame:
+    """``rank`` by the listed order, 99 if not listed; in this order."""
+    place = F.array_position(F.array(*map(F.lit, ranks)), F.col(category))
+    return rows.withColumn("rank", F.when(F.coalesce(place, F.lit(0)) > 0, place).otherwise(99).cast("int")).orderBy("rank", *then)
+
+
+def grouped_files(files: DataFrame, pattern: str) -> DataFrame:
+    """``id``, ``n_files``, ``paths`` in order, of a listing (``path``).
+
+    Group 1 of the pattern is the id; paths that don't match belong to none.  The paths of
+    one id become one row.
+    """
+    named = files.select("path", F.regexp_extract("path", pattern, 1).alias("id")).where("id <> ''")
+    return named.groupBy("id").agg(F.count("*").alias("n_files"), F.array_sort(F.collect_list("path")).alias("paths"))
+
+
+def summary(rows: DataFrame, category: str, size: str) -> DataFrame:
+    """``category``, ``n``, ``total``, ``share`` (per cent with one decimal, as text), of a catalogue."""
+    sums = rows.groupBy(category).agg(F.count("*").alias("n"), F.sum(size).alias("total"))
+    whole = rows.agg(F.sum(size).alias("__whole"))  # one row
+    return sums.crossJoin(F.broadcast(whole)).select(category, "n", F.format_number("total", 0).alias("total"), F.format_string("%.1f", F.bround(F.col("total") * 100 / F.col("__whole"), 1)).alias("share"))

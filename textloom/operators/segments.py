@@ -52,3 +52,10 @@ def merge_sections(texts: DataFrame, key: str, text: str) -> DataFrame:
     joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "content"))), lambda p: p["content"]), "\n\n")
     merged = parts.groupBy(key, "num").agg(joined.alias("content"))
     return merged.withColumn("of_n", F.count("*").over(Window.partitionBy(key))).where(F.trim("content") != "")
+
+
+def split_sections(text: Column, pattern: str) -> Column:
+    """``array<struct<num, content>>``: what lies between the matches, without parts that are
+    blank or begin with ``#``, numbered anew from 1; equal titles are not merged."""
+    parts = F.filter(F.transform(F.split(text, pattern, -1), lambda x: F.trim(x)), lambda x: (x != "") & ~x.startswith("#"))
+    return F.transform(parts, lambda x, i: F.struct((i + 1).cast("int").alias("num"), x.alias("content")))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from textloom.functions import text as T
 from textloom.operators import catalog, chunking, glossary, rewrite, segments
 from textloom.sources import markup
+from textloom.streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -165,8 +166,20 @@ def greedy_chunks(spark, d):  # W3, C10
     return table(spark, d, "documents").select("doc_id", F.posexplode(chunks)).select("doc_id", (F.col("pos") + 1).cast("long").alias("chunk_no"), "col.n", "col.items", "col.text")
 
 
-@query()  # C9; tests hold it against a plain version
-def two_level_chunks(spark, d):
+@query(r"""
+WITH RECURSIVE p AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents),
+q AS (SELECT doc_id, t, i, length(t) > 600 AS large, lag(length(t) > 600) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM p),
+z AS (SELECT doc_id, t, i, large, sum(CASE WHEN before IS NULL OR before OR large THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM q),
+k AS (SELECT doc_id, run, i, large, CASE WHEN large THEN string_split(regexp_replace(t, '([.!?] )', '\1' || chr(1), 'g'), chr(1)) ELSE [t] END AS ls FROM z),
+s AS (SELECT doc_id, run, i, large, unnest(ls) AS l, unnest(range(len(ls))) AS j FROM k),
+items AS (SELECT doc_id, run, large, l, length(l) AS n, row_number() OVER (PARTITION BY doc_id, run ORDER BY i, j) AS i FROM s),
+r AS (SELECT doc_id, run, i, n AS cur, 1 AS chunk FROM items WHERE i = 1
+  UNION ALL SELECT x.doc_id, x.run, x.i, CASE WHEN r.cur + x.n > 600 THEN x.n ELSE r.cur + x.n END, CASE WHEN r.cur + x.n > 600 THEN r.chunk + 1 ELSE r.chunk END
+  FROM r JOIN items x ON x.doc_id = r.doc_id AND x.run = r.run AND x.i = r.i + 1),
+c AS (SELECT r.doc_id, r.run, r.chunk, sum(items.n) AS n, CASE WHEN bool_or(large) THEN array_to_string(list(l ORDER BY r.i), '') ELSE array_to_string(list(l ORDER BY r.i), chr(10)) END AS text
+  FROM r JOIN items ON items.doc_id = r.doc_id AND items.run = r.run AND items.i = r.i GROUP BY r.doc_id, r.run, r.chunk)
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY run, chunk) AS BIGINT) AS chunk_no, CAST(n AS BIGINT) AS n, text FROM c""")
+def two_level_chunks(spark, d):  # C9
     chunks = chunking.two_level(F.col("text"), F.length, 600, "\n", r"(?<=[.!?] )", "\n")
     return table(spark, d, "documents").select("doc_id", F.posexplode(chunks)).select("doc_id", (F.col("pos") + 1).cast("long").alias("chunk_no"), "col.n", "col.text")
 
@@ -541,3 +554,103 @@ def valid_results(spark, d):  # F12, F13
     long = F.col("n_chars") > 1000
     kilo = F.floor(F.sum(F.when(long, F.col("n_chars"))) / 1000).cast("decimal(38,0)")
     return table(spark, d, "documents").agg(F.count("*").alias("total"), F.count_if(long).alias("kept"), kilo.cast("long").alias("kilo"))
+
+
+_CUT = "(SELECT coalesce(min(doc_id), 0) FROM w WHERE source >= 'src5')"
+_DONE = "(SELECT doc_id FROM labels WHERE quality = 1)"
+
+
+@query(f"WITH w AS (SELECT doc_id, source, lang, n_chars FROM documents WHERE lang = 'en') SELECT doc_id, n_chars FROM w WHERE doc_id >= {_CUT} AND doc_id NOT IN {_DONE} AND n_chars <= 2000")
+def batch_plan(spark, d):  # F1, F2, F3, O1
+    done = table(spark, d, "labels").where("quality = 1")
+    return catalog.batch_plan(table(spark, d, "documents"), done, "doc_id", "doc_id", "lang", "en", "source", "src5", "n_chars", 2000).select("doc_id", "n_chars")
+
+
+@query(f"WITH w AS (SELECT doc_id, source, n_chars FROM documents WHERE n_chars <= 2000) SELECT doc_id, n_chars FROM w WHERE doc_id >= {_CUT} AND doc_id NOT IN {_DONE}")
+def interactive_plan(spark, d):  # F1, F2, F3, O2
+    done = table(spark, d, "labels").where("quality = 1")
+    return catalog.interactive_plan(table(spark, d, "documents"), done, "doc_id", "doc_id", "source", "src5", "n_chars", 2000).select("doc_id", "n_chars")
+
+
+@query("SELECT doc_id, n_chars FROM documents")
+def unlimited_plan(spark, d):  # F2, switched off
+    return catalog.at_most(table(spark, d, "documents").select("doc_id", "n_chars"), "n_chars", 0)
+
+
+@query("SELECT doc_id, n_chars, CAST(greatest((SELECT count(*) FROM documents) - 50, 0) AS BIGINT) AS more FROM documents ORDER BY n_chars DESC, doc_id LIMIT 50")
+def preview_with_rest(spark, d):  # O7
+    work = table(spark, d, "documents").select("doc_id", "n_chars")
+    return catalog.preview(work, [F.desc("n_chars"), "doc_id"], 50)
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT f.doc_id FROM (SELECT doc_id FROM documents WHERE n_chars > 500) f JOIN labels l ON l.doc_id = f.doc_id)")
+def unfinished_files_and_log(spark, d):  # J2
+    docs = table(spark, d, "documents")
+    return catalog.outstanding(docs.select("doc_id"), catalog.finished(docs.where("n_chars > 500"), table(spark, d, "labels"), "doc_id"), "doc_id")
+
+
+@query("SELECT e.user_id, count(*) AS n FROM events e WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = e.user_id AND c.c_acctbal > 3000) GROUP BY e.user_id")
+def lookup_misses(spark, d):  # J4, J11
+    customers = table(spark, d, "customer").where("c_acctbal > 3000").select(F.col("c_custkey").alias("user_id"), "c_name")
+    missing = catalog.looked_up(table(spark, d, "events").select("user_id"), customers, "user_id")[1]
+    return missing.groupBy("user_id").agg(F.count("*").alias("n"))
+
+
+@query("SELECT p_partkey, lower(p_name) AS name, CASE split_part(p_type, ' ', 1) WHEN 'PROMO' THEN 1 WHEN 'ECONOMY' THEN 2 WHEN 'STANDARD' THEN 3 ELSE 99 END AS rank FROM part")
+def category_order(spark, d):  # O4
+    parts = table(spark, d, "part").select("p_partkey", F.lower("p_name").alias("name"), F.split_part("p_type", F.lit(" "), F.lit(1)).alias("kind"))
+    return catalog.by_rank(parts, "kind", ["PROMO", "ECONOMY", "STANDARD"], F.col("name")).drop("kind")
+
+
+@query("SELECT p_partkey, lower(p_name) AS name, CASE split_part(p_type, ' ', 1) WHEN 'STANDARD' THEN 1 WHEN 'PROMO' THEN 2 ELSE 99 END AS rank FROM part")
+def other_category_order(spark, d):  # O4, the second order
+    parts = table(spark, d, "part").select("p_partkey", F.lower("p_name").alias("name"), F.split_part("p_type", F.lit(" "), F.lit(1)).alias("kind"))
+    return catalog.by_rank(parts, "kind", ["STANDARD", "PROMO"], F.col("name")).drop("kind")
+
+
+@query("SELECT doc_id, left(source, 3) AS volume, CAST(row_number() OVER (PARTITION BY left(source, 3) ORDER BY doc_id) AS BIGINT) AS nth FROM documents WHERE source IS NOT NULL")
+def volume_order(spark, d):  # C16, O3
+    docs = table(spark, d, "documents").where("source IS NOT NULL").select("doc_id", F.substring("source", 1, 3).alias("volume"))
+    return docs.withColumn("nth", F.row_number().over(Window.partitionBy("volume").orderBy("doc_id")).cast("long")).orderBy("volume", "doc_id")
+
+
+@query("SELECT event_id, CASE WHEN value < 20 THEN 1 WHEN value < 60 THEN 2 ELSE 3 END AS tier FROM events")
+def tier_order(spark, d):  # O6
+    tier = F.when(F.col("value") < 20, 1).when(F.col("value") < 60, 2).otherwise(3)
+    return table(spark, d, "events").select("event_id", tier.alias("tier")).orderBy("tier", "event_id")
+
+
+@query("SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) AS INT) AS num, c AS content FROM (SELECT doc_id, i, trim(c) AS c FROM (SELECT doc_id, unnest(string_split(text, '. ')) AS c, unnest(range(len(string_split(text, '. ')))) AS i FROM documents)) WHERE c <> '' AND c NOT LIKE '#%'")
+def renumbered_sections(spark, d):  # C13
+    return table(spark, d, "documents").select("doc_id", F.inline(segments.split_sections(F.col("text"), r"\. ")))
+
+
+@query("SELECT regexp_extract(url, '^([a-z]+://[^/]+)', 1) AS id, CAST(count(*) AS BIGINT) AS n_files, list_sort(list(url)) AS paths FROM pages WHERE regexp_matches(url, '^[a-z]+://[^/]+') GROUP BY 1")
+def grouped_files(spark, d):  # S1, A1
+    return catalog.grouped_files(table(spark, d, "pages").select(F.col("url").alias("path")), r"^([a-z]+://[^/]+)")
+
+
+@query("SELECT lang, CAST(count(*) AS BIGINT) AS n, format('{:,}', CAST(sum(n_chars) AS BIGINT)) AS total, printf('%.1f', round_even(sum(n_chars) * 100 / (SELECT sum(n_chars) FROM documents), 1)) AS share FROM documents GROUP BY lang")
+def catalogue_summary(spark, d):  # K3, C27
+    return catalog.summary(table(spark, d, "documents"), "lang", "n_chars")
+
+
+@query("SELECT conv_id, turn, printf('T%04d_%03d', conv_id, turn) AS name FROM conversations")
+def padded_names(spark, d):  # C29
+    return table(spark, d, "conversations").select("conv_id", "turn", F.format_string("T%04d_%03d", "conv_id", "turn").alias("name"))
+
+
+@query("SELECT doc_id, CAST(count(*) AS BIGINT) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[0-9]{4}')) AS ref FROM documents) WHERE left(ref, 4) <= '5000' GROUP BY doc_id")
+def within_page_bound(spark, d):  # F9
+    refs = table(spark, d, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("[0-9]{4}"), F.lit(0))).alias("ref"))
+    return refs.where(F.substring("ref", 1, 4) <= "5000").groupBy("doc_id").agg(F.count("*").alias("n"))
+
+
+@query("SELECT doc_id, lang, n_chars FROM documents WHERE n_chars > 500")
+def incremental_documents(spark, d):  # 2.12, K10
+    path = f"{d}/{{documents}}.parquet"  # a pattern, as a stream takes no path of a single file
+    schema = table(spark, d, "documents").schema
+    sink, checkpoint = (incremental.shared_folder(spark, k) for k in ("sink", "progress"))
+    for _ in range(2):  # the second run finds nothing new
+        incremental.drain(spark, path, schema, sink, checkpoint, lambda df: df.where("n_chars > 500").select("doc_id", "lang", "n_chars")).awaitTermination()
+    return spark.read.parquet(sink)

@@ -28,3 +28,14 @@ def timings(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def write_keyed(df: DataFrame, path: str, key: str, text: str) -> None:
     """Texts in one folder per key."""
     df.select(key, F.col(text).alias("value")).write.mode("overwrite").partitionBy(key).text(path)
+
+
+def write_titled(df: DataFrame, path: str, key: str, header: list, text: str) -> None:
+    """Texts below their header lines (columns; nulls are left out), in one folder per key."""
+    whole = F.concat_ws("\n", *header, F.lit(""), F.col(text))
+    df.select(key, whole.alias("value")).write.mode("overwrite").partitionBy(key).text(path)
+
+
+def write_catalogue(df: DataFrame, path: str) -> None:
+    """Rows as JSON, one object a line; nulls stay visible."""
+    df.write.mode("overwrite").option("ignoreNullFields", False).json(path)

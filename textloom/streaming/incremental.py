@@ -2,11 +2,26 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors share: below ``spark.checkpoint.dir``, or, where
+    that is unset and Spark runs in one process, a local one."""
+    sc = spark.sparkContext
+    base = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="textloom-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def drain(spark: SparkSession, source: str, schema: StructType, sink: str, checkpoint: str, transform=lambda df: df) -> StreamingQuery:
     """Read the files of ``source`` that no run has read, transform, append, and end.
 
