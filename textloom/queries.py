@@ -625,9 +625,9 @@ def renumbered_sections(spark, d):  # C13
     return table(spark, d, "documents").select("doc_id", F.inline(segments.split_sections(F.col("text"), r"\. ")))
 
 
-@query("SELECT regexp_extract(url, '^([a-z]+://[^/]+)', 1) AS id, CAST(count(*) AS BIGINT) AS n_files, list_sort(list(url)) AS paths FROM pages WHERE regexp_matches(url, '^[a-z]+://[^/]+') GROUP BY 1")
+@query("SELECT regexp_extract(url, '^([a-z]+://[^/]+)', 1) AS id, CAST(count(*) AS BIGINT) AS n_files, array_to_string(list_sort(list(url)), chr(10)) AS paths FROM pages WHERE regexp_matches(url, '^[a-z]+://[^/]+') GROUP BY 1")
 def grouped_files(spark, d):  # S1, A1
-    return catalog.grouped_files(table(spark, d, "pages").select(F.col("url").alias("path")), r"^([a-z]+://[^/]+)")
+    return catalog.grouped_files(table(spark, d, "pages").select(F.col("url").alias("path")), r"^([a-z]+://[^/]+)").withColumn("paths", F.array_join("paths", "\n"))
 
 
 @query("SELECT lang, CAST(count(*) AS BIGINT) AS n, format('{:,}', CAST(sum(n_chars) AS BIGINT)) AS total, printf('%.1f', round_even(sum(n_chars) * 100 / (SELECT sum(n_chars) FROM documents), 1)) AS share FROM documents GROUP BY lang")
