@@ -35,7 +35,8 @@ def groups(nodes: list, links: list[tuple]) -> dict:
 
     def find(n):
         while top[n] != n:
-            n = top[n] = top[top[n]]
+            top[n] = top[top[n]]
+            n = top[n]
         return n
 
     for a, b in links:
