@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from textloom.llm import chat, decontaminate, langid, line_dedup, minhash, packing, quality, secrets, suffix_tree, toxicity
+from textloom.llm import alignment, chat, decontaminate, divergence, langid, line_dedup, minhash, packing, quality, secrets, sharding, suffix_tree, toxicity
 
 QUERIES = {
     "op1_chat": chat.op1_chat,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_language": langid.op8_language,
     "op9_suffix_tree": suffix_tree.op9_suffix_tree,
     "op10_quality": quality.op10_quality,
+    "op11_shards": sharding.op11_shards,
+    "op12_alignment": alignment.op12_alignment,
+    "op13_divergence": divergence.op13_divergence,
 }
 
 ORACLES = {
@@ -23,4 +26,5 @@ ORACLES = {
     "op3_decontamination": decontaminate.oracle_op3(),
     "op7_minhash": minhash.oracle_op7(),
     "op10_quality": quality.oracle_op10(),
+    "op13_divergence": divergence.oracle_op13(),
 }

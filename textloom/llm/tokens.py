@@ -64,6 +64,14 @@ class PieceEncoder:
         except TypeError:  # a piece that can't stand alone
             return self.whole(text)
 
+    def token_bytes(self) -> list[bytes]:
+        """Bytes of each id; none for ids that no text has."""
+        own = self.bpe.token_byte_values()
+        out = [b""] * self.size
+        for token in own:
+            out[self.bpe.encode_single_token(token)] = token
+        return out
+
     def decode(self, ids: np.ndarray) -> str:
         return self.bpe.decode_bytes(ids.tolist()).decode("utf-8")
 
