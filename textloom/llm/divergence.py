@@ -28,6 +28,8 @@ SCALE_STEPS = 3  # of a thousand each
 RANKS = 50
 #: Distinct entries that a task counts before it passes them on, rows of a chunk, cells of a dense tile.
 COUNTED_TOGETHER, CHUNK_ROWS, TILE_CELLS = 400_000, 500_000, 2_000_000
+#: Sums and terms that a task gathers over chunks before it passes them on.
+HELD_CELLS = 4_000_000
 #: Bytes of a text that are taken apart at once.
 SLICE = 1 << 22
 
@@ -171,40 +173,71 @@ def rates(counts: np.ndarray, total: int, terms: int) -> np.ndarray:
     return q + 1
 
 
-def chunk_distances(chunk: dict, names: list[str], totals: np.ndarray, n_terms: int, ranks: int, tile_cells: int) -> Iterator[list[tuple]]:
-    """Pair sums of the chunk's terms, each pair of sources once, and every source's first terms."""
-    lang, width = chunk["lang"], len(chunk["terms"])
-    place = {s: i for i, s in enumerate(names)}
-    sparse = {place[s]: (np.frombuffer(i, dtype="<i4"), np.frombuffer(c, dtype="<i8")) for s, i, c in zip(chunk["sources"], chunk["ids"], chunk["counts"], strict=True)}
-    if width:
-        all_counts = np.zeros(width, dtype=np.int64)
-        for ids, counts in sparse.values():
-            all_counts += dense(ids, counts, 0, width)
-        q = rates(all_counts, int(totals.sum()), n_terms)
-        for i, (ids, counts) in sparse.items():
-            f = rates(counts, int(totals[i]), n_terms) - q[ids]
-            more = np.flatnonzero(f > 0)
-            first = more[np.lexsort((ids[more], -f[more]))[:ranks]]
-            if len(first):
-                yield [(lang, names[i], "term", chunk["terms"][ids[x]], int(f[x])) for x in first]
-    band = max(1, min(len(names), int(tile_cells**0.5)))
+Sparse = dict[int, tuple[np.ndarray, np.ndarray]]
+
+
+def first_terms(chunk: dict, sparse: Sparse, totals: np.ndarray, n_terms: int, ranks: int) -> Iterator[tuple[int, list[tuple[int, str]]]]:
+    """Of each source, the chunk's terms that it has more of than its lang: (difference, term), the first ``ranks``."""
+    width = len(chunk["terms"])
+    all_counts = np.zeros(width, dtype=np.int64)
+    for ids, counts in sparse.values():
+        all_counts += dense(ids, counts, 0, width)
+    q = rates(all_counts, int(totals.sum()), n_terms)
+    for i, (ids, counts) in sparse.items():
+        f = rates(counts, int(totals[i]), n_terms) - q[ids]
+        more = np.flatnonzero(f > 0)
+        yield i, [(int(f[x]), chunk["terms"][ids[x]]) for x in more[np.lexsort((ids[more], -f[more]))[:ranks]]]
+
+
+def pair_sums(width: int, sparse: Sparse, totals: np.ndarray, n_terms: int, tile_cells: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Sums of differences over the chunk's terms, for bands of sources: (first row, first column, sums)."""
+    n = len(totals)
+    band = max(1, min(n, int(tile_cells**0.5)))
     columns = max(1, tile_cells // band)
     none = np.empty(0, dtype=np.int32), np.empty(0, dtype=np.int64)
 
     def tile(lo: int, start: int) -> np.ndarray:
         end = min(start + columns, width)
-        return np.stack([rates(dense(*sparse.get(i, none), start, end), int(totals[i]), n_terms) for i in range(lo, min(lo + band, len(names)))])
+        return np.stack([rates(dense(*sparse.get(i, none), start, end), int(totals[i]), n_terms) for i in range(lo, min(lo + band, n))])
 
-    for lo in range(0, len(names), band):
-        for hi in range(lo, len(names), band):
-            sums = np.zeros((min(band, len(names) - lo), min(band, len(names) - hi)), dtype=np.int64)
+    for lo in range(0, n, band):
+        for hi in range(lo, n, band):
+            sums = np.zeros((min(band, n - lo), min(band, n - hi)), dtype=np.int64)
             for start in range(0, width, columns):
                 left = tile(lo, start)
                 right = left if hi == lo else tile(hi, start)
                 for k, p in enumerate(left):
                     sums[k] += np.abs(right - p).sum(axis=1)
+            yield lo, hi, sums
+
+
+class Found:
+    """What a task has found of one lang: sums of pairs by band and the first terms of each source."""
+
+    def __init__(self, lang: str, names: list[str], ranks: int):
+        self.lang, self.names, self.ranks = lang, names, ranks
+        self.sums: dict[tuple[int, int], np.ndarray] = {}
+        self.terms: dict[int, list[tuple[int, str]]] = {}
+
+    def add(self, chunk: dict, tile_cells: int) -> None:
+        place = {s: i for i, s in enumerate(self.names)}
+        totals = np.array(chunk["all_totals"], dtype=np.int64)
+        sparse = {place[s]: (np.frombuffer(i, dtype="<i4"), np.frombuffer(c, dtype="<i8")) for s, i, c in zip(chunk["sources"], chunk["ids"], chunk["counts"], strict=True)}
+        for i, terms in first_terms(chunk, sparse, totals, chunk["n_terms"], self.ranks) if chunk["terms"] else ():
+            both = self.terms.get(i, []) + terms
+            self.terms[i] = sorted(both, key=lambda x: (-x[0], x[1].encode()))[: self.ranks]
+        for lo, hi, sums in pair_sums(len(chunk["terms"]), sparse, totals, chunk["n_terms"], tile_cells):
+            self.sums[lo, hi] = self.sums.get((lo, hi), 0) + sums
+
+    def cells(self) -> int:
+        return sum(x.size for x in self.sums.values()) + sum(map(len, self.terms.values()))
+
+    def rows(self) -> Iterator[list[tuple]]:
+        for i, terms in self.terms.items():
+            yield [(self.lang, self.names[i], "term", term, f) for f, term in terms]
+        for (lo, hi), sums in self.sums.items():
             for k, row in enumerate(sums.tolist()):
-                yield [(lang, names[lo + k], "pair", names[hi + j], value) for j, value in enumerate(row) if hi + j > lo + k]
+                yield [(self.lang, self.names[lo + k], "pair", self.names[hi + j], value) for j, value in enumerate(row) if hi + j > lo + k]
 
 
 def dense(ids: np.ndarray, counts: np.ndarray, start: int, end: int) -> np.ndarray:
@@ -233,17 +266,22 @@ def divergence(docs: DataFrame, least: int = LEAST_DOCUMENTS, ranks: int = RANKS
     sides = written(groups.groupBy("lang").agg(listed.alias("g")).join(sizes, "lang").select("lang", F.col("g.source").alias("names"), F.col("g.total").alias("all_totals"), "n_terms"), "sides")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, Found] = {}
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for found in held.values():
+                for rows in found.rows():
+                    if rows:
+                        yield batch_of(list(zip(*rows, strict=True)), _FOUND)
+            held.clear()
+
         for batch in batches:
             for i in range(batch.num_rows):
                 chunk = batch.slice(i, 1).to_pylist()[0]
-                rows: list[tuple] = []
-                for more in chunk_distances(chunk, chunk["names"], np.array(chunk["all_totals"], dtype=np.int64), chunk["n_terms"], ranks, tile_cells):
-                    rows += more
-                    if len(rows) >= 50_000:
-                        yield batch_of(list(zip(*rows, strict=True)), _FOUND)
-                        rows = []
-                if rows:
-                    yield batch_of(list(zip(*rows, strict=True)), _FOUND)
+                held.setdefault(chunk["lang"], Found(chunk["lang"], chunk["names"], ranks)).add(chunk, tile_cells)
+                if sum(f.cells() for f in held.values()) > HELD_CELLS:
+                    yield from flush()
+        yield from flush()
 
     found = written(chunks.join(sides, "lang").mapInArrow(run, _FOUND), "distances")
     sums = found.where("part = 'pair'").groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
