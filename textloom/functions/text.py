@@ -81,9 +81,9 @@ def leading_header(text: Column) -> Column:
     return F.array_join(F.filter(F.split(block, "\n", -1), lambda x: x.startswith("#")), "\n")
 
 
-def is_noise_line(text: Column) -> Column:
-    """A catalogue number or only characters below U+2000; an empty line is none."""
-    return (text != "") & (text.rlike(r"^No\.\s*\d+") | ~text.rlike(r"[^\x{0}-\x{1FFF}]"))
+def is_noise_line(text: Column, floor: str = "2000") -> Column:
+    """A catalogue number or only characters below a code point; an empty line is none."""
+    return (text != "") & (text.rlike(r"^No\.\s*\d+") | ~text.rlike(rf"[\x{{{floor}}}-\x{{10FFFF}}]"))
 
 
 def strip_tags(html: Column) -> Column:
@@ -101,11 +101,6 @@ def composite_key(custom_id: Column, separator: str = "_fasc_") -> Column:
     return F.struct(F.split_part(custom_id, F.lit(separator), F.lit(1)).alias("t_number"), F.split_part(custom_id, F.lit(separator), F.lit(2)).cast("int").alias("fasc_num"))
 
 
-def fold_diacritics(text: Column, marks: str, plain: str) -> Column:
-    """Lower case by a table of letters, for ordering."""
-    return F.lower(F.translate(text, marks, plain))
-
-
 def markdown_sections(text: Column, titles: list[str]) -> Column:
     """``map<title, body>`` of the named sections of level 2, without their heading lines."""
     parts = F.filter(F.split(text, r"(?m)^## ", -1), lambda p: F.split_part(p, F.lit("\n"), F.lit(1)).isin(*titles))
@@ -130,3 +125,9 @@ def batch_request(custom_id: Column, system: str, text: Column, limit: int) -> C
     """A request of a batch interface as JSON."""
     message = F.struct(F.lit("user").alias("role"), text.alias("content"))
     return F.to_json(F.struct(custom_id.alias("custom_id"), F.struct(F.lit(limit).alias("max_tokens"), F.lit(system).alias("system"), F.array(message).alias("messages")).alias("params")))
+
+
+def minutes_and_seconds(text: Column) -> Column:
+    """``struct<seconds, shared>`` of m:ss, which a star marks as the time of several texts."""
+    part = lambda k: F.regexp_extract(text, r"^\s*(\d+):(\d\d)\**\s*$", k)
+    return F.struct((F.nullif(part(1), F.lit("")).cast("long") * 60 + F.nullif(part(2), F.lit("")).cast("long")).alias("seconds"), text.endswith("*").alias("shared"))

@@ -124,3 +124,35 @@ def summary(rows: DataFrame, category: str, size: str) -> DataFrame:
     sums = rows.groupBy(category).agg(F.count("*").alias("n"), F.sum(size).alias("total"))
     whole = rows.agg(F.sum(size).alias("__whole"))  # one row
     return sums.crossJoin(F.broadcast(whole)).select(category, "n", F.format_number("total", 0).alias("total"), F.format_string("%.1f", F.bround(F.col("total") * 100 / F.col("__whole"), 1)).alias("share"))
+
+
+#: Characters that a draft and a review have at least, and bytes of a file that counts; fixed values.
+LEAST_DRAFT, LEAST_REVIEW, LEAST_BYTES = 50, 100, 100
+
+
+def valid(text: Column, error: Column, least: int) -> Column:
+    """Whether a result came through and is long enough."""
+    return error.isNull() & (F.length(text) >= least)
+
+
+def real_files(files: DataFrame, size: str) -> DataFrame:
+    """Files that hold more than a stub."""
+    return files.where(F.col(size) > LEAST_BYTES)
+
+
+def up_to_last_page(lines: DataFrame, bounds: DataFrame, key: str, ref: str, last: str) -> DataFrame:
+    """Lines whose page, the first four characters of the reference, isn't beyond the last page of their text."""
+    return lines.join(bounds.select(key, last), key).where(F.substring(ref, 1, 4) <= F.col(last)).drop(last)
+
+
+def paired(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """All columns of both and ``side``: both, or the one that has the key alone."""
+    marked = left.withColumn("__left", F.lit(True)).join(right.withColumn("__right", F.lit(True)), key, "full_outer")
+    return marked.withColumn("side", F.when(F.col("__right").isNull(), "left").when(F.col("__left").isNull(), "right").otherwise("both")).drop("__left", "__right")
+
+
+def chosen(work: DataFrame, key: str, ids: DataFrame | None = None, tier: int | None = None) -> DataFrame:
+    """Rows of the ids, or of the tier, or all."""
+    if ids is not None:
+        return work.join(ids.select(key).distinct(), key, "left_semi")
+    return work if tier is None else work.where(F.col("tier") == tier)

@@ -1,44 +1,132 @@
-"""Calls of outside functions on chunks, with status as columns instead of text."""
+"""Calls of outside functions on chunks, with status as columns instead of text.
+
+A call is remembered by its stage and the content given to it, so neither a task that is run
+again nor a later run of the job calls twice for what is done, and the tries of what keeps
+failing add up across runs.
+"""
 
 from __future__ import annotations
 
+import hashlib
+import json
 import time
+import uuid
 from collections.abc import Callable, Iterable, Iterator
+from dataclasses import asdict, dataclass
 
 import pandas as pd
+from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textloom.shipping import ship
+from textloom.sources.store import located
+
 RESULT = "result string, error string, attempts int, elapsed double"
+RESULT_COLUMNS = [c.split()[0] for c in RESULT.split(", ")]
+#: Tries and seconds of the first wait of a draft or review; fixed values.
+DRAFT_TRIES, DRAFT_WAIT = 5, 60.0
+
+
+@dataclass
+class Outcome:
+    result: str | None = None
+    error: str | None = None
+    attempts: int = 0
+    elapsed: float = 0.0
+
+
+class Memo:
+    """Outcomes of one stage in a shared folder, a file for each content.
+
+    An outcome is put down after every try, aside first and then moved to its name, so it is
+    there whole or not at all.
+    """
+
+    def __init__(self, folder: str, stage: str):
+        self.folder, self.stage = folder, stage
+
+    def _at(self, content: str) -> tuple[arrow_fs.FileSystem, str]:
+        fs, root = located(self.folder)
+        digest = hashlib.sha256(content.encode()).hexdigest()
+        return fs, f"{root}/{self.stage}/{digest[:2]}/{digest}.json"
+
+    def get(self, content: str) -> Outcome:
+        fs, at = self._at(content)
+        if fs.get_file_info(at).type == arrow_fs.FileType.NotFound:
+            return Outcome()
+        with fs.open_input_stream(at) as f:
+            return Outcome(**json.loads(f.read()))
 
+    def put(self, content: str, outcome: Outcome) -> None:
+        fs, at = self._at(content)
+        fs.create_dir(at.rpartition("/")[0], recursive=True)
+        aside = f"{at}.{uuid.uuid4().hex}"
+        with fs.open_output_stream(aside) as f:
+            f.write(json.dumps(asdict(outcome)).encode())
+        fs.move(aside, at)
 
-def transform_chunks(chunks: DataFrame, text: str, fn: Callable[[str], str], tries: int = 2, wait: float = 0.0, backoff: Callable[[int], float] | None = None) -> DataFrame:
-    """Each row with ``RESULT``.  An error is tried again after ``wait`` (or what
-    ``backoff`` gives for the attempt) and then recorded.  A task that is run again calls
-    ``fn`` again."""
+
+def called(fn: Callable[[str], str], content: str, tries: int, wait: Callable[[int], float], memo: Memo | None) -> Outcome:
+    """The outcome of up to ``tries`` calls in all, those that the memo knows included.
+
+    ``wait`` gives the seconds after the n-th failed try.  A timeout is not tried again.
+    """
+    known = memo.get(content) if memo else Outcome()
+    while known.result is None and known.attempts < tries:
+        began = time.monotonic()
+        try:
+            known = Outcome(fn(content), None, known.attempts + 1, known.elapsed + time.monotonic() - began)
+        except Exception as e:  # noqa: BLE001  any failure of the outside function is a result
+            attempts = tries if isinstance(e, TimeoutError) else known.attempts + 1
+            known = Outcome(None, str(e), attempts, known.elapsed + time.monotonic() - began)
+        if memo:
+            memo.put(content, known)
+        if known.result is None and known.attempts < tries:
+            time.sleep(wait(known.attempts))
+    return known
+
+
+def transform_chunks(chunks: DataFrame, text: str, fn: Callable[[str], str], tries: int = 2, wait: float = 0.0, backoff: Callable[[int], float] | None = None, memo: str | None = None, stage: str = "call") -> DataFrame:
+    """Each row with ``RESULT``; a row whose calls all failed has the last error, a null text no call.
+
+    ``memo`` names a shared folder of outcomes; without it, a task that is run again calls
+    ``fn`` again.
+    """
+    pause = backoff or (lambda n: wait)
+    known = Memo(memo, stage) if memo else None
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for value in batch[text]:
-                began, error, out, n = time.monotonic(), None, None, 0
-                for n in range(1, tries + 1):
-                    try:
-                        out, error = fn(value), None
-                        break
-                    except Exception as e:  # noqa: BLE001  any failure of the outside function is a result
-                        error = str(e)
-                        if n < tries:
-                            time.sleep(backoff(n) if backoff else wait)
-                rows.append((out, error, n, time.monotonic() - began))
-            yield batch.assign(**dict(zip(("result", "error", "attempts", "elapsed"), map(list, zip(*rows, strict=True)) if rows else [[]] * 4, strict=True)))
+            made = [Outcome(error="no text") if value is None else called(fn, value, tries, pause, known) for value in batch[text]]
+            columns = {c: pd.Series([getattr(o, c) for o in made], dtype=object if c in ("result", "error") else None) for c in RESULT_COLUMNS}
+            yield batch.reset_index(drop=True).assign(**columns).astype({"attempts": "int32", "elapsed": "float64"})
 
+    ship(chunks.sparkSession)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chunks.schema)
     return chunks.mapInPandas(run, f"{schema}, {RESULT}")
 
 
-def draft_and_review(chunks: DataFrame, text: str, draft: Callable[[str], str], review: Callable[[str], str]) -> DataFrame:
-    """``final``: the review, or the draft where the review failed."""
-    drafted = transform_chunks(chunks, text, draft).select("*", F.col("result").alias("draft")).drop(*[c.split()[0] for c in RESULT.split(", ")])
-    reviewed = transform_chunks(drafted.where("draft IS NOT NULL"), "draft", review)
-    return reviewed.withColumn("final", F.coalesce("result", "draft"))
+def growing(first: float = DRAFT_WAIT) -> Callable[[int], float]:
+    """The n-th wait is n times the first."""
+    return lambda n: first * n
+
+
+def draft_and_review(chunks: DataFrame, text: str, draft: Callable[[str], str], review: Callable[[str], str], tries: int = DRAFT_TRIES, backoff: Callable[[int], float] | None = None, memo: str | None = None) -> DataFrame:
+    """``draft``, ``final`` and of both stages the error and the tries.
+
+    Waits are none unless ``backoff`` gives them, as ``growing()`` does.  ``final``: the review, or the draft where the review failed.  A row whose draft failed
+    stays, without either.
+    """
+    named = lambda df, stage, result: df.select(*[c for c in df.columns if c not in RESULT_COLUMNS], F.col("result").alias(result), F.col("error").alias(f"{stage}_error"), F.col("attempts").alias(f"{stage}_tries"))
+    drafted = named(transform_chunks(chunks, text, draft, tries, backoff=backoff, memo=memo, stage="draft"), "draft", "draft")
+    reviewed = named(transform_chunks(drafted, "draft", review, tries, backoff=backoff, memo=memo, stage="review"), "review", "reviewed")
+    lost = F.col("draft").isNull()
+    return reviewed.withColumn("final", F.coalesce("reviewed", "draft")).withColumn("review_error", F.when(~lost, F.col("review_error"))).drop("reviewed")
+
+
+def reviewed_texts(results: DataFrame, key: str, order: str, separator: str = "\n\n") -> DataFrame:
+    """``text``, ``parts``, ``failed`` of each key: what has a final text, in order; keys without any have no row."""
+    parts = F.sort_array(F.collect_list(F.when(F.col("final").isNotNull(), F.struct(F.col(order).alias("o"), F.col("final").alias("t")))))
+    joined = results.groupBy(key).agg(F.array_join(F.transform(parts, lambda p: p["t"]), separator).alias("text"), F.count("final").alias("parts"), F.count_if(F.col("final").isNull()).alias("failed"))
+    return joined.where("parts > 0")

@@ -16,27 +16,6 @@ HINTS = (
     ("practice", ("meditation", "practice", "concentration", "attainment", "perfection", "stage", "path", "precept", "virtue")),
     ("cosmological", ("eon", "kalpa", "age", "period", "realm", "existence", "rebirth", "cycle")),
 )
-#: Terms of up to this length match whole words only.
-SHORT = 3
-
-
-def attested(text: Column, term: str) -> Column:
-    """Whether a text has a term: short ones as whole words, others anywhere."""
-    if len(term) <= SHORT:
-        return text.rlike(rf"(?<![\p{{L}}\p{{N}}_])\Q{term}\E(?![\p{{L}}\p{{N}}_])")
-    return text.contains(term)
-
-
-def attestation(texts: DataFrame, key: str, text: str, terms: list[str]) -> DataFrame:
-    """``term``, ``n_texts``, ``first_key`` of every term that a text has.
-
-    Each text is read once against all terms and yields only those that it has, so there is
-    no join of terms with texts; counts go up from partial aggregates.
-    """
-    found = F.array_compact(F.array(*(F.when(attested(F.col(text), t), F.lit(t)) for t in terms)))
-    return texts.select(key, F.explode(found).alias("term")).groupBy("term").agg(F.count_distinct(key).alias("n_texts"), F.min(key).alias("first_key"))
-
-
 def _sources() -> Column:
     return F.array_sort(F.array_distinct(F.flatten(F.collect_list("sources")))).alias("sources")
 
@@ -64,16 +43,17 @@ def dedup_by_source_term(entries: DataFrame) -> DataFrame:
 
 def dedup_across_categories(entries: DataFrame) -> DataFrame:
     """One row per English term in any case: the first in (part, first_pos) order."""
-    kept = F.struct("english", "chinese", "sanskrit", "category")
+    kept = F.struct("english", "chinese", "sanskrit", "category", "part", "first_pos")
     return entries.groupBy(F.lower("english").alias("__key")).agg(F.min_by(kept, F.struct("part", "first_pos")).alias("best"), _sources()).select("best.*", "sources")
 
 
-def overlay(own: DataFrame, published: DataFrame) -> DataFrame:
+def overlay(own: DataFrame, published: DataFrame, prefix: str = "") -> DataFrame:
     """Full outer merge on the trimmed English term in lower case.
 
     Own values win for english, chinese and category (of repeated own keys the last row);
     the published list gives definition and source (last row), and sanskrit where own is
-    empty (first non-empty one).  Missing values are empty strings.
+    empty (first non-empty one).  Missing values are empty strings.  ``prefix`` goes before
+    every published source, also before one that has it already.
     """
     key = F.lower(F.trim("english")).alias("key")
     last = lambda c: F.max_by(c, "pos").alias(c)
@@ -89,7 +69,7 @@ def overlay(own: DataFrame, published: DataFrame) -> DataFrame:
         F.coalesce(F.nullif("sanskrit", F.lit("")), "p_sanskrit", F.lit("")).alias("sanskrit"),
         F.coalesce("category", classify(F.col("p_hint"))).alias("category"),
         F.coalesce("p_definition", F.lit("")).alias("definition"),
-        F.coalesce("p_source", F.lit("own")).alias("source"),
+        F.coalesce(F.concat(F.lit(prefix), F.col("p_source")), F.lit("own")).alias("source"),
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions.text import drop_comment_lines
-from textloom.operators import catalog, chunking, glossary, rewrite
+from textloom.operators import attestation, catalog, chunking, glossary, positions, rewrite
 from textloom.operators.external import transform_chunks
 
 
@@ -31,14 +31,14 @@ def batch_run(sources: DataFrame, done: DataFrame, fn: Callable[[str], str], siz
 def glossary_run(texts: DataFrame, seed: DataFrame, published: DataFrame) -> DataFrame:
     """Seed terms that texts attest, with the texts as sources, merged and overlaid.
 
-    ``texts``: key, text; ``seed``: pos, english, chinese, sanskrit, category, a bounded
-    table; ``published``: pos, english, sanskrit, definition, source.
+    ``texts``: key, text; ``seed``: pos, english, chinese, sanskrit, category, of any size;
+    ``published``: pos, english, sanskrit, definition, source.  Merged entries keep the order
+    of the seed, which decides which of several rows with one term is the last.
     """
-    terms = [r["english"] for r in seed.select("english").distinct().collect()]
-    found = F.array_compact(F.array(*(F.when(glossary.attested(F.col("text"), t), F.lit(t)) for t in terms)))
-    sources = texts.select("key", F.explode(found).alias("english")).groupBy("english").agg(F.array_sort(F.collect_set("key")).alias("sources"))
+    pairs = attestation.attested_pairs(texts, "key", "text", seed, "english")
+    sources = pairs.groupBy(F.col("term").alias("english")).agg(F.array_sort(F.collect_set("key")).alias("sources"))
     merged = glossary.dedup_across_categories(glossary.dedup_by_source_term(seed.join(sources, "english")))
-    return glossary.overlay(merged.withColumn("pos", F.monotonically_increasing_id()), published)
+    return glossary.overlay(positions.with_positions(merged, ["part", "first_pos"]), published)
 
 
 def cleanup_run(texts: DataFrame) -> DataFrame:

@@ -17,7 +17,11 @@ def listing(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "length", "modificationTime")
 
 
-def json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def json_array(spark: SparkSession, path: str, schema: str, optional: bool = False) -> DataFrame:
+    """Rows of a JSON array; of an ``optional`` file that isn't there, none."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if optional and not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+        return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
+from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -32,6 +35,40 @@ def drain(spark: SparkSession, source: str, schema: StructType, sink: str, check
     return new.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+class DeadlinePassed(Exception):
+    """No work is begun any more."""
+
+
+def drain_until(spark: SparkSession, source: str, schema: StructType, sink: str, checkpoint: str, deadline: float, transform=lambda df: df, clock: Callable[[], float] = time.monotonic, files_a_batch: int = 1) -> bool:
+    """As ``drain``, file by file, until the clock has reached the deadline; whether all is done.
+
+    Work that has begun is finished; nothing is begun after the deadline.  What was not
+    begun is in the checkpoint, and the next run begins with it.  A batch has a folder of its
+    own below the sink, which the same batch would replace, so none counts twice.
+    """
+    stopped = []
+
+    def work(batch: DataFrame, number: int) -> None:
+        if clock() >= deadline:
+            stopped.append(number)
+            raise DeadlinePassed
+        batch.write.mode("overwrite").parquet(f"{sink}/batch={number}")
+
+    new = transform(spark.readStream.schema(schema).option("maxFilesPerTrigger", files_a_batch).parquet(source))
+    query = new.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    try:
+        query.awaitTermination()
+    except StreamingQueryException:
+        if not stopped:
+            raise
+    return not stopped
+
+
+def batches(spark: SparkSession, sink: str, schema: StructType | str) -> DataFrame:
+    """What runs have put below the sink, a folder for each batch."""
+    return spark.read.schema(schema).option("basePath", sink).parquet(sink).drop("batch")
+
+
 def succeeded(results: DataFrame) -> DataFrame:
     """Results that came through, once per id."""
     return results.where("type = 'succeeded'").dropDuplicates(["custom_id"])
