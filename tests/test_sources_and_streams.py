@@ -15,14 +15,15 @@ from textloom.streaming import claims, incremental, polled
 # Terms in texts
 
 
-def test_attested_pairs_are_those_of_a_search(spark):
+@pytest.mark.parametrize("most_broadcast", [0, attestation.MOST_BROADCAST])
+def test_attested_pairs_are_those_of_a_search(spark, most_broadcast):
     import regex
 
     rng = random.Random(5)
     letters = "abcé —x_1\n"
     texts = [(i, "".join(rng.choice(letters) for _ in range(rng.randrange(0, 60)))) for i in range(150)] + [(900, None), (901, ""), (3, "again abc")]
     terms = {"".join(rng.choice(letters) for _ in range(rng.randrange(1, 7))) for _ in range(300)} | {"", r"\E", "a.c", "zzzz", "abcabc"}
-    got = attestation.attested_pairs(spark.createDataFrame(texts, "k long, t string"), "k", "t", spark.createDataFrame([(t,) for t in terms] + [(None,)], "term string"), "term").collect()
+    got = attestation.attested_pairs(spark.createDataFrame(texts, "k long, t string"), "k", "t", spark.createDataFrame([(t,) for t in terms] + [(None,)], "term string"), "term", most_broadcast=most_broadcast).collect()
 
     def holds(text, term):
         if len(term) <= 3:
@@ -343,3 +344,27 @@ def test_a_json_array_that_may_be_missing(spark, tmp_path):
     (tmp_path / "a.json").write_text('[{"x": 1}, {"x": 2}]')
     assert [r["x"] for r in files.json_array(spark, str(tmp_path / "a.json"), "x int").collect()] == [1, 2]
     assert files.json_array(spark, str(tmp_path / "none.json"), "x int", optional=True).collect() == []
+
+
+def test_seed_terms_keep_their_order(spark, tmp_path):
+    rows = [(i, f"térm {i} \"q\"", "" if i % 9 == 0 else f"字{i}", "", "other") for i in range(557)]
+    random.Random(2).shuffle(rows)
+    files.write_seed(spark.createDataFrame(rows, "pos long, english string, chinese string, sanskrit string, category string").repartition(4), str(tmp_path / "seed"))
+    assert sorted(map(tuple, files.seed_terms(spark, str(tmp_path / "seed")).collect())) == sorted(rows)
+
+
+def test_chunks_take_time_in_proportion(spark):
+    import time
+
+    from textloom.operators import chunking
+
+    def seconds(n):
+        df = spark.range(1).select(F.array_join(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.concat(F.lit("line "), i.cast("string"))), "\n").alias("t"))
+        made = df.select(F.size(chunking.greedy(F.split("t", "\n", -1), F.length, 20, "\n")).alias("a"), F.size(chunking.two_level(F.col("t"), F.length, 20, "\n", "(?<= )", "\n")).alias("b"))
+        began = time.perf_counter()
+        assert made.first()["a"] == n // 2 or made.first()["a"] > n // 3
+        return time.perf_counter() - began
+
+    seconds(2_000)
+    small, large = seconds(8_000), seconds(32_000)
+    assert large < 5 * small + 1

@@ -14,9 +14,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textloom.operators.positions import kept
+
 #: Terms of up to this length match whole words only; a fixed value.
 SHORT = 3
 Q = 4
+#: Grams of terms that are broadcast at most, some 10 MB.
+MOST_BROADCAST = 200_000
 _WORD = r"[\p{L}\p{N}_]"
 
 
@@ -51,25 +55,34 @@ def holds(text: Column, term: Column) -> Column:
     return F.when(F.length(term) <= SHORT, F.regexp_like(text, quoted)).otherwise(F.contains(text, term))
 
 
-def attested_pairs(texts: DataFrame, key: str, text: str, terms: DataFrame, term: str, q: int = Q) -> DataFrame:
+def attested_pairs(texts: DataFrame, key: str, text: str, terms: DataFrame, term: str, q: int = Q, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
     """``term``, ``key``: every pair in which a text of that key holds the term, once.
 
     Empty and null terms are in no text.  Two passes over the texts: the first counts in how
-    many texts each gram of a term occurs, the second finds the terms of each text.
+    many texts each gram of a term occurs, the second finds the terms of each text.  Up to
+    ``most_broadcast`` rows, the terms' grams go to every task, and texts stay where they are;
+    beyond that, grams are shuffled, and what they propose meets the texts by their keys.
     """
     wanted = terms.select(F.col(term).alias("term")).where("term <> ''").distinct()
-    lengths = [r[0] for r in wanted.select(F.least(F.length("term"), F.lit(q))).distinct().collect()]  # q of them at most
-    odd = [r[0] for r in wanted.where((F.length("term") <= SHORT) & ~F.col("term").rlike(rf"^{_WORD}+$")).select(F.length("term")).distinct().collect()]
-    sizes = sorted({n for n in lengths if n > SHORT} | set(odd))
-    keyed = wanted.select("term", F.explode(_proposals(F.col("term"), q)).alias("gram"))
+    keyed = kept(wanted.select("term", F.explode(_proposals(F.col("term"), q)).alias("gram")), "grams")
+    lengths = F.collect_set(F.least(F.length("term"), F.lit(q)))  # q of them at most
+    odd = F.collect_set(F.when((F.length("term") <= SHORT) & ~F.col("term").rlike(rf"^{_WORD}+$"), F.length("term")))
+    known = keyed.agg(lengths.alias("lengths"), odd.alias("odd"), F.count("*").alias("n")).first()
+    sizes = sorted({n for n in known["lengths"] if n > SHORT} | set(known["odd"]))
+    small = known["n"] <= most_broadcast
+    sent = F.broadcast if small else (lambda df: df)
     own = texts.select(F.col(key).alias("key"), F.col(text).alias("text")).where("text <> ''")
-    of_text = own.select("key", F.explode(_own_grams(F.col("text"), sizes, q)).alias("gram"))
+    exploded = F.explode(_own_grams(F.col("text"), sizes, q)).alias("gram")
     # a gram that no text holds leaves its term out, and so its other grams
-    held = of_text.join(keyed.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("n"))
-    rarest = keyed.join(held, "gram", "left").groupBy("term").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("best")).where("best.n > 0").select("term", F.col("best.gram").alias("gram"))
-    proposed = of_text.join(rarest, "gram").groupBy("key").agg(F.collect_set("term").alias("terms"))
-    found = own.join(proposed, "key").select("key", "text", F.explode("terms").alias("term")).where(holds(F.col("text"), F.col("term")))
-    return found.select("term", "key").distinct()
+    held = own.select(exploded).join(sent(keyed.select("gram").distinct()), "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("n"))
+    best = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("best")
+    rarest = kept(keyed.join(held, "gram", "left").groupBy("term").agg(best).where("best.n > 0").select("term", F.col("best.gram").alias("gram")), "rarest")
+    if small:
+        proposed = own.select("key", "text", exploded).join(F.broadcast(rarest), "gram")
+    else:
+        of_key = own.select("key", exploded).join(rarest, "gram").groupBy("key").agg(F.collect_set("term").alias("terms"))
+        proposed = own.join(of_key, "key").select("key", "text", F.explode("terms").alias("term"))
+    return proposed.where(holds(F.col("text"), F.col("term"))).select("term", "key").distinct()
 
 
 def attestation(texts: DataFrame, key: str, text: str, terms: DataFrame | list[str]) -> DataFrame:

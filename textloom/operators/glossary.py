@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,11 +78,14 @@ def overlay(own: DataFrame, published: DataFrame, prefix: str = "") -> DataFrame
 
 def classify(text: Column) -> Column:
     """The first category with a hint in the text, else doctrinal."""
-    lowered = F.lower(text)
-    out = F
-    for name, hints in HINTS:
-        out = out.when(lowered.rlike("|".join(hints)), name)
-    return out.otherwise("doctrinal")
+
+    def first(lowered: Column) -> Column:
+        out = F
+        for name, hints in HINTS:
+            out = out.when(reduce(or_, (lowered.contains(h) for h in hints)), name)
+        return out.otherwise("doctrinal")
+
+    return F.element_at(F.transform(F.array(F.lower(text)), first), 1)  # lowered once
 
 
 def render(english: Column, chinese: Column, sanskrit: Column, definition: Column, source: Column) -> Column:

@@ -111,7 +111,7 @@ def small_first_topk(spark, d):  # O1, O2, O7
 @query("SELECT doc_id, CAST(count(*) FILTER (l <> '' AND (regexp_matches(l, '^No\\.\\s*\\d+') OR NOT regexp_matches(l, '[^\\x{0}-\\x{1FFF}]'))) AS BIGINT) AS noise, CAST(count(*) AS BIGINT) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM documents) GROUP BY doc_id")
 def line_noise_filter(spark, d):  # F10
     lines = F.split("text", "\n", -1)
-    return table(spark, d, "documents").select("doc_id", F.size(F.filter(lines, T.is_noise_line)).cast("long").alias("noise"), F.size(lines).cast("long").alias("n"))
+    return table(spark, d, "documents").select("doc_id", F.size(F.filter(lines, lambda x: T.is_noise_line(x))).cast("long").alias("noise"), F.size(lines).cast("long").alias("n"))
 
 
 _PACK = """
@@ -598,3 +598,29 @@ def blocks_of_texts(spark, d):  # S4, S5, J9, X4, E1, E2, A16
         F.lit("</head><p>"), refs, F.lit('</p><lg><l> <g ref="#L0"/></l><l><g ref="#none"/></l></lg>'), F.when(F.col("page_id") % 11 == 0, "<bad").otherwise(""), F.lit("</body></text></TEI>"),
     )
     return markup.text_blocks(pages.select("text_id", F.format_string("%09d.xml", "page_id").alias("path"), xml.alias("xml")))
+
+
+# Orders, told by places
+
+@query(f"WITH w AS (SELECT doc_id, source, lang, n_chars FROM documents WHERE lang = 'en') SELECT doc_id, n_chars, CAST(row_number() OVER (ORDER BY n_chars, doc_id) - 1 AS BIGINT) AS place FROM w WHERE doc_id >= {_CUT} AND doc_id NOT IN {_DONE} AND n_chars <= 2000")
+def batch_places(spark, d):  # O1
+    return positions.with_positions(batch_plan(spark, d), ["n_chars", "doc_id"], "place")
+
+
+@query("SELECT p_partkey, CAST(row_number() OVER (ORDER BY CASE split_part(p_type, ' ', 1) WHEN 'PROMO' THEN 1 WHEN 'ECONOMY' THEN 2 WHEN 'STANDARD' THEN 3 ELSE 99 END, lower(p_name), p_partkey) - 1 AS BIGINT) AS place, CAST(row_number() OVER (ORDER BY CASE split_part(p_type, ' ', 1) WHEN 'STANDARD' THEN 1 WHEN 'PROMO' THEN 2 ELSE 99 END, lower(p_name), p_partkey) - 1 AS BIGINT) AS other FROM part")
+def category_places(spark, d):  # O4, both orders
+    one = positions.with_positions(category_order(spark, d), ["rank", "name", "p_partkey"], "place")
+    two = positions.with_positions(other_category_order(spark, d), ["rank", "name", "p_partkey"], "other")
+    return one.select("p_partkey", "place").join(two.select("p_partkey", "other"), "p_partkey")
+
+
+@query("SELECT event_id, CAST(row_number() OVER (ORDER BY CASE WHEN value < 20 THEN 1 WHEN value < 60 THEN 2 ELSE 3 END, event_id) - 1 AS BIGINT) AS place FROM events")
+def tier_places(spark, d):  # O6
+    return positions.with_positions(tier_order(spark, d), ["tier", "event_id"], "place").drop("tier")
+
+
+@query("SELECT doc_id || chr(9) || lang || chr(9) || source AS line, CAST(row_number() OVER (ORDER BY n_chars, doc_id) - 1 AS BIGINT) AS place FROM documents WHERE n_chars <= 2000 AND lang IS NOT NULL AND source IS NOT NULL")
+def sorted_catalog_lines(spark, d):  # S7: filter, sort, project
+    docs = table(spark, d, "documents").where("n_chars <= 2000 AND lang IS NOT NULL AND source IS NOT NULL").select("doc_id", "n_chars", "lang", "source")
+    placed = positions.with_positions(docs, ["n_chars", "doc_id"], "place")
+    return placed.select(F.concat_ws("\t", F.col("doc_id").cast("string"), "lang", "source").alias("line"), "place")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textloom.operators.positions import with_positions
+
 
 def texts(spark: SparkSession, path: str, key_pattern: str) -> DataFrame:
     """``key``, ``text`` of whole files; of files with one key the last name wins."""
@@ -25,6 +27,25 @@ def json_array(spark: SparkSession, path: str, schema: str, optional: bool = Fal
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
+#: Columns of a table of seed terms.
+SEED = "english string, chinese string, sanskrit string, category string"
+
+
+def seed_terms(spark: SparkSession, path: str) -> DataFrame:
+    """``pos`` (order of the rows, from 0) and ``SEED`` of a table with tabs and a header.
+
+    Missing values are empty.
+    """
+    rows = spark.read.csv(path, sep="\t", header=True, schema=SEED).fillna("")
+    return with_positions(rows, [], "pos").select("pos", *rows.columns)
+
+
+def write_seed(terms: DataFrame, path: str) -> None:
+    """Seed terms (``pos`` and ``SEED``) as such a table, rows by ``pos``."""
+    columns = [c.split()[0] for c in SEED.split(", ")]
+    terms.orderBy("pos").select(*columns).write.mode("overwrite").csv(path, sep="\t", header=True, emptyValue="")
+
+
 def timings(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=schema)
 

@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
-from textloom.operators import catalog, glossary, rewrite, segments
+from textloom.operators import catalog, glossary, positions, rewrite, segments
 from textloom.plans import runs
 from textloom.registry import classify_sql, literal_count, nested, query, table
-from textloom.sources import markup
+from textloom.sources import files, markup
+from textloom.streaming import incremental
 
 TRIM = "regexp_replace({}, '^\\s+|\\s+$', '', 'g')"
 
@@ -311,6 +312,35 @@ def glossary_markdown(spark, d):  # S16
     return pages.select(F.explode(glossary.parse_markdown(F.col("text"))).alias("e")).select("e.*")
 
 
+_SEED = "t AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS pos FROM (SELECT DISTINCT unnest(string_split_regex(text, '\\s+')) AS term FROM benchmark) WHERE length(term) > 3)"
+
+
+def _seed(spark, d: str) -> DataFrame:
+    """Words of the benchmark as a table of seed terms, written and loaded."""
+    words = table(spark, d, "benchmark").select(F.explode(F.split("text", r"\s+")).alias("english")).where(F.length("english") > 3).distinct()
+    at = incremental.shared_folder(spark, "seed")
+    files.write_seed(positions.with_positions(words, ["english"]).select("pos", "english", F.lit("").alias("chinese"), F.lit("").alias("sanskrit"), F.when(F.col("pos") % 2 == 0, "other").otherwise("title").alias("category")), at)
+    return files.seed_terms(spark, at)
+
+
+@query(f"WITH {_SEED} SELECT CAST(pos AS BIGINT) AS pos, term AS english, '' AS chinese, '' AS sanskrit, CASE WHEN pos % 2 = 0 THEN 'other' ELSE 'title' END AS category FROM t")
+def seed_table(spark, d):  # S15
+    return _seed(spark, d)
+
+
+@query(f"""
+WITH {_SEED},
+e AS (SELECT term AS english, any_value(pos) AS pos, CASE WHEN any_value(pos) % 2 = 0 THEN 'other' ELSE 'title' END AS category, count(*) AS n FROM t JOIN documents ON contains(text, term) GROUP BY term),
+b AS (SELECT *, row_number() OVER (PARTITION BY rtrim(lower(english), 's'), category ORDER BY n DESC, length(english), pos) AS k, min(pos) OVER (PARTITION BY rtrim(lower(english), 's'), category) AS first_pos FROM e),
+c AS (SELECT arg_min(english, first_pos) AS english, arg_min(category, first_pos) AS category, min(first_pos) AS pos FROM b WHERE k = 1 GROUP BY lower(english)),
+r AS (SELECT lower(trim(english)) AS key, arg_min(english, pos) AS pe, arg_max(definition, pos) AS pd, arg_max(source, pos) AS ps, arg_min(sanskrit, pos) FILTER (sanskrit <> '') AS psk, arg_min(definition || ' ' || english, pos) AS hint FROM {prepared_sql("part", **PUBLISHED)} GROUP BY 1),
+l AS (SELECT lower(trim(english)) AS key, arg_max(english, pos) AS english, arg_max(category, pos) AS category FROM c GROUP BY 1)
+SELECT coalesce(english, pe) AS english, '' AS chinese, coalesce(psk, '') AS sanskrit, coalesce(category, {classify_sql("hint")}) AS category, coalesce(pd, '') AS definition, coalesce(ps, 'own') AS source FROM l FULL JOIN r USING (key)""")
+def glossary_of_documents(spark, d):  # the whole run: S15, J6, A6b, A7, J7, C23
+    texts = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("key"), "text")
+    return runs.glossary_run(texts, _seed(spark, d), prepared(spark, d, "part", **PUBLISHED))
+
+
 # Ids, headers and characters from parts, results from events
 
 NAMES = {"p_partkey": "p_partkey", "name": "CASE p_size % 4 WHEN 0 THEN 'T01n' || p_partkey WHEN 1 THEN p_partkey || 'a' WHEN 2 THEN '000' || p_partkey || 'B' ELSE p_name END"}
