@@ -4,9 +4,11 @@ Each term is keyed by one gram: the q characters of it that the fewest texts hol
 are taken apart into their distinct grams, and those that key a term propose it; what is
 proposed is then looked for in the text itself.  So the plan is the same for one term or a
 million, no term meets every text, and the result is that of a search for each term in each
-text.
+text, whichever gram keys it.
 
-Terms of up to ``SHORT`` characters count as whole words only.
+Grams lie within words, so those of a text are those of its distinct words; only terms
+that have no word of q characters are keyed by grams with white space.  Terms of up to
+``SHORT`` characters count as whole words only.
 """
 
 from __future__ import annotations
@@ -19,14 +21,21 @@ from textloom.operators.positions import kept
 #: Terms of up to this length match whole words only; a fixed value.
 SHORT = 3
 Q = 4
+#: One in so many texts is counted to see which grams are rare.
+SAMPLED = 16
 #: Grams of terms that are broadcast at most, some 10 MB.
 MOST_BROADCAST = 200_000
 _WORD = r"[\p{L}\p{N}_]"
 
 
-def grams(text: Column, q: int) -> Column:
-    """All runs of q characters, overlapping, in order; one pass over the text."""
-    return F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{{q}}}))"), F.lit(1))
+def grams(text: Column, q: int, of: str = ".") -> Column:
+    """All runs of q characters (of a class), overlapping, in order; one pass over the text."""
+    return F.regexp_extract_all(text, F.lit(rf"(?s)(?=({of}{{{q}}}))"), F.lit(1))
+
+
+def word_grams(text: Column, q: int) -> Column:
+    """Grams without white space, of each distinct word."""
+    return grams(F.array_join(F.array_distinct(F.split(text, r"\s+")), " "), q, r"\S")
 
 
 def short_words(text: Column) -> Column:
@@ -36,16 +45,14 @@ def short_words(text: Column) -> Column:
 
 def _proposals(term: Column, q: int) -> Column:
     """Grams that a text with the term must hold."""
-    size = F.length(term)
-    return F.when(size <= SHORT, F.array(term)).otherwise(F.array_distinct(grams(term, q)))
+    inner = F.array_distinct(grams(term, q, r"\S"))
+    return F.when(F.length(term) <= SHORT, F.array(term)).when(F.size(inner) > 0, inner).otherwise(F.array_distinct(grams(term, q)))
 
 
-def _own_grams(text: Column, sizes: list[int], q: int) -> Column:
-    """Distinct grams of a text for terms of the lengths given."""
-    parts = [short_words(text)]
-    parts += [grams(text, n) for n in sizes if n <= SHORT]  # short terms that aren't all word characters
-    if any(n > SHORT for n in sizes):
-        parts.append(grams(text, q))
+def _own_grams(text: Column, odd: list[int], spaced: bool, q: int) -> Column:
+    """Distinct grams of a text; ``odd``: lengths of short terms that aren't all word
+    characters, ``spaced``: whether grams with white space are asked for."""
+    parts = [short_words(text), word_grams(text, q), *(grams(text, n) for n in odd)] + [grams(text, q)] * spaced
     return F.array_distinct(F.concat(*parts))
 
 
@@ -58,25 +65,24 @@ def holds(text: Column, term: Column) -> Column:
 def attested_pairs(texts: DataFrame, key: str, text: str, terms: DataFrame, term: str, q: int = Q, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
     """``term``, ``key``: every pair in which a text of that key holds the term, once.
 
-    Empty and null terms are in no text.  Two passes over the texts: the first counts in how
-    many texts each gram of a term occurs, the second finds the terms of each text.  Up to
+    Empty and null terms are in no text.  How many texts hold a gram is counted on one in
+    ``SAMPLED`` texts; it decides what a search costs, not what it finds.  Up to
     ``most_broadcast`` rows, the terms' grams go to every task, and texts stay where they are;
     beyond that, grams are shuffled, and what they propose meets the texts by their keys.
     """
     wanted = terms.select(F.col(term).alias("term")).where("term <> ''").distinct()
     keyed = kept(wanted.select("term", F.explode(_proposals(F.col("term"), q)).alias("gram")), "grams")
-    lengths = F.collect_set(F.least(F.length("term"), F.lit(q)))  # q of them at most
-    odd = F.collect_set(F.when((F.length("term") <= SHORT) & ~F.col("term").rlike(rf"^{_WORD}+$"), F.length("term")))
-    known = keyed.agg(lengths.alias("lengths"), odd.alias("odd"), F.count("*").alias("n")).first()
-    sizes = sorted({n for n in known["lengths"] if n > SHORT} | set(known["odd"]))
+    short = F.length("term") <= SHORT
+    odd = F.collect_set(F.when(short & ~F.col("term").rlike(rf"^{_WORD}+$"), F.length("term")))  # SHORT of them at most
+    known = keyed.agg(odd.alias("odd"), F.count_if(~short & F.col("gram").rlike(r"\s")).alias("spaced"), F.count("*").alias("n")).first()
     small = known["n"] <= most_broadcast
     sent = F.broadcast if small else (lambda df: df)
     own = texts.select(F.col(key).alias("key"), F.col(text).alias("text")).where("text <> ''")
-    exploded = F.explode(_own_grams(F.col("text"), sizes, q)).alias("gram")
-    # a gram that no text holds leaves its term out, and so its other grams
-    held = own.select(exploded).join(sent(keyed.select("gram").distinct()), "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("n"))
+    exploded = F.explode(_own_grams(F.col("text"), sorted(known["odd"]), known["spaced"] > 0, q)).alias("gram")
+    sample = own.where(F.pmod(F.xxhash64("key"), F.lit(SAMPLED)) == 0)
+    held = sample.select(exploded).join(sent(keyed.select("gram").distinct()), "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("n"))
     best = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("best")
-    rarest = kept(keyed.join(held, "gram", "left").groupBy("term").agg(best).where("best.n > 0").select("term", F.col("best.gram").alias("gram")), "rarest")
+    rarest = kept(keyed.join(held, "gram", "left").groupBy("term").agg(best).select("term", F.col("best.gram").alias("gram")), "rarest")
     if small:
         proposed = own.select("key", "text", exploded).join(F.broadcast(rarest), "gram")
     else:

@@ -16,7 +16,7 @@ from dataclasses import asdict, dataclass
 
 import pandas as pd
 from pyarrow import fs as arrow_fs
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.shipping import ship
@@ -107,6 +107,21 @@ def transform_chunks(chunks: DataFrame, text: str, fn: Callable[[str], str], tri
     return chunks.mapInPandas(run, f"{schema}, {RESULT}")
 
 
+#: What a call in JSON form answers with.
+REPLY = "result string, session_id string"
+
+
+def parsed_reply(answer: Column) -> Column:
+    """``struct<result, session_id, error>`` of a JSON answer.
+
+    No answer, what isn't JSON, and an empty result are errors, without a result.
+    """
+    reply = F.from_json(answer, REPLY)
+    text = F.nullif(reply["result"], F.lit(""))
+    error = F.when(F.coalesce(answer, F.lit("")) == "", "no output").when(F.coalesce(reply["result"], reply["session_id"]).isNull(), "not an answer").when(text.isNull(), "empty result")
+    return F.struct(text.alias("result"), reply["session_id"].alias("session_id"), error.alias("error"))
+
+
 def growing(first: float = DRAFT_WAIT) -> Callable[[int], float]:
     """The n-th wait is n times the first."""
     return lambda n: first * n

@@ -83,7 +83,7 @@ def untranslated_anti(spark, d):  # J1, X2
 
 
 @query("SELECT doc_id FROM labels l WHERE quality = 1 AND NOT EXISTS (SELECT 1 FROM labels r WHERE r.doc_id = l.doc_id AND r.toxic = 1)")
-def reviewed_anti(spark, d):  # J2, J3
+def reviewed_anti(spark, d):  # J3
     labels = table(spark, d, "labels")
     return catalog.outstanding(labels.where("quality = 1").select("doc_id"), labels.where("toxic = 1"), "doc_id")
 
@@ -255,13 +255,13 @@ def rate_summary(spark, d):  # A3, C27
 
 
 @query("SELECT page_id, CAST(len(regexp_extract_all(html, '<a\\s[^>]*href=\"([^\"]*)\"', 1)) AS BIGINT) AS n_links, array_to_string(regexp_extract_all(html, '<a\\s[^>]*href=\"([^\"]*)\"', 1), ' ') AS targets FROM pages")
-def html_anchor_extract(spark, d):  # S9, S10, E4
+def html_anchor_extract(spark, d):  # extension: targets of links
     found = markup.links(F.col("html"))
     return table(spark, d, "pages").select("page_id", F.size(found).cast("long").alias("n_links"), F.array_join(found, " ").alias("targets"))
 
 
 @query("SELECT page_id, regexp_replace(html, '<[^>]+>', '', 'g') AS text FROM pages")
-def html_strip(spark, d):  # C31, S12
+def html_strip(spark, d):  # C31
     return table(spark, d, "pages").select("page_id", T.strip_tags(F.col("html")).alias("text"))
 
 
@@ -292,7 +292,7 @@ def stub_map_assemble(spark, d):  # U1, F12, A10
 
 
 @query("SELECT source, CAST(count(*) AS BIGINT) AS files, min(doc_id) AS first_doc FROM documents GROUP BY source")
-def files_by_text(spark, d):  # S1, A1
+def files_by_text(spark, d):  # A1
     return table(spark, d, "documents").groupBy("source").agg(F.count("*").alias("files"), F.min("doc_id").alias("first_doc"))
 
 
@@ -325,7 +325,7 @@ def section_sizes(spark, d):  # A12, A17
 
 
 @query("SELECT doc_id || chr(9) || lang || chr(9) || source AS line FROM documents WHERE n_chars <= 2000 AND (doc_id IN (1, 2, 3) OR source = 'src1')")
-def catalog_lines(spark, d):  # S7, F2, F4
+def catalog_lines(spark, d):  # F2; a fixed choice
     docs = table(spark, d, "documents").where((F.col("n_chars") <= 2000) & (F.col("doc_id").isin(1, 2, 3) | (F.col("source") == "src1")))
     return docs.select(F.concat_ws("\t", F.col("doc_id").cast("string"), "lang", "source").alias("line"))
 
@@ -349,7 +349,7 @@ def membership_semi(spark, d):  # X3, J5
 
 
 @query("SELECT CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (n_chars > 1000) AS BIGINT) AS kept, CAST(sum(n_chars) FILTER (n_chars > 1000) // 1000 AS BIGINT) AS kilo FROM documents")
-def valid_results(spark, d):  # F12, F13
+def valid_results(spark, d):  # extension: totals beyond a size
     long = F.col("n_chars") > 1000
     kilo = F.floor(F.sum(F.when(long, F.col("n_chars"))) / 1000).cast("decimal(38,0)")
     return table(spark, d, "documents").agg(F.count("*").alias("total"), F.count_if(long).alias("kept"), kilo.cast("long").alias("kilo"))
@@ -440,7 +440,7 @@ def padded_names(spark, d):  # C29
 
 
 @query("SELECT doc_id, CAST(count(*) AS BIGINT) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[0-9]{4}')) AS ref FROM documents) WHERE left(ref, 4) <= '5000' GROUP BY doc_id")
-def within_page_bound(spark, d):  # F9
+def within_page_bound(spark, d):  # extension: one bound for all
     refs = table(spark, d, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("[0-9]{4}"), F.lit(0))).alias("ref"))
     return refs.where(F.substring("ref", 1, 4) <= "5000").groupBy("doc_id").agg(F.count("*").alias("n"))
 

@@ -137,3 +137,30 @@ def write_sections(sections: DataFrame, path: str, key: str, num: str, content:
     head = with_header([title, F.format_string("Fascicle %d of %d", F.col(num), F.col(of_n))], F.col(content))
     kept = sections.where(F.regexp_replace(content, r"(?U)\s+", "") != "")
     write_files(kept, path, F.format_string("%s_f%03d.txt", F.col(key).cast("string"), F.col(num)), head)
+
+
+def write_chunks(chunks: DataFrame, path: str, key: str, no: str, text: str) -> None:
+    """A file ``key/chunk_NNNN.txt`` for each chunk, numbered from 0."""
+    write_files(chunks, path, F.format_string("%s/chunk_%04d.txt", F.col(key).cast("string"), F.col(no)), F.col(text))
+
+
+def write_metadata(texts: DataFrame, path: str, key: str) -> None:
+    """A file ``key_meta.json`` for each row, all its columns as an object, nulls too."""
+    whole = F.to_json(F.struct(*texts.columns), {"ignoreNullFields": "false"})
+    write_files(texts, path, F.concat(F.col(key).cast("string"), F.lit("_meta.json")), whole)
+
+
+def write_translations(texts: DataFrame, path: str, key: str, title: Column, source: Column, credit: Column, body: str) -> None:
+    """A file ``key_translation.md`` for each text: title, source and credit (if any), a rule, and the body."""
+    head = F.concat(F.lit("# "), title, F.lit("\n"), source, F.lit("\n\n"), F.when(F.coalesce(credit, F.lit("")) != "", F.concat(credit, F.lit("\n\n"))).otherwise(""), F.lit("---\n\n"))
+    write_files(texts, path, F.concat(F.col(key).cast("string"), F.lit("_translation.md")), F.concat(head, F.col(body)))
+
+
+def write_glossary(entries: DataFrame, path: str, category: str, english: str, line: str, categories: tuple[str, ...]) -> None:
+    """A file ``NN_category.md`` for each listed category that has entries: its name, its
+    count, and its lines by English term.  Entries of other categories are left out."""
+    lines = F.array_sort(F.collect_list(F.struct(F.lower(english).alias("k"), F.col(english).alias("e"), F.col(line).alias("l"))))
+    rank = F.array_position(F.array(*map(F.lit, categories)), F.col(category))
+    pages = entries.where(F.col(category).isin(*categories)).groupBy(category).agg(F.count("*").alias("n"), F.array_join(F.transform(lines, lambda x: x["l"]), "\n\n").alias("body"))
+    name = F.format_string("%02d_%s.md", rank, F.col(category))
+    write_files(pages, path, name, F.concat(F.lit("# "), F.col(category), F.format_string(" (%d)\n\n", "n"), F.col("body"), F.lit("\n")))

@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
-from textloom.operators import catalog, glossary, positions, rewrite, segments
+from textloom.operators import catalog, chunking, external, glossary, positions, rewrite, segments
 from textloom.plans import runs
 from textloom.registry import classify_sql, literal_count, nested, query, table
-from textloom.sources import files, markup
+from textloom.sources import files, markup, store
 from textloom.streaming import incremental
 
 TRIM = "regexp_replace({}, '^\\s+|\\s+$', '', 'g')"
@@ -470,3 +470,83 @@ def results_by_validity(spark, d):  # both thresholds, errors, and tex
     ok = lambda least: F.count_if(catalog.valid(F.col("text"), F.col("error"), least))
     content = T.count_class(F.col("text"), "a-zA-Z")
     return rows.groupBy("conv_id").agg(ok(catalog.LEAST_DRAFT).alias("drafts"), ok(catalog.LEAST_REVIEW).alias("reviews"), F.count("error").alias("failed"), F.count_if(content == 0).alias("empty"))
+
+
+# Files, written and read back
+
+def _folder(spark, name: str) -> str:
+    return incremental.shared_folder(spark, name)
+
+
+@query("SELECT conv_id || '/chunk_' || printf('%04d', row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1) || '.txt' AS name, text AS content FROM conversations WHERE text <> ''")
+def chunk_files(spark, d):  # K4
+    at = _folder(spark, "chunks")
+    numbered = chunking.numbered(table(spark, d, "conversations").where("text <> ''"), "conv_id", "turn")
+    store.write_chunks(numbered.withColumn("no", F.col("i") - 1), at, "conv_id", "no", "text")
+    return store.read_files(spark, at)
+
+
+@query("""SELECT doc_id || '_meta.json' AS name, '{"doc_id":' || doc_id || ',"lang":"' || lang || '","n_chars":' || n_chars || ',"author":null,"n_letters":' || length(regexp_replace(text, '[^a-zA-Z]', '', 'g')) || '}' AS content FROM documents WHERE lang IS NOT NULL""")
+def metadata_files(spark, d):  # K2
+    at = _folder(spark, "metadata")
+    docs = table(spark, d, "documents").where("lang IS NOT NULL")
+    store.write_metadata(docs.select("doc_id", "lang", "n_chars", F.lit(None).cast("string").alias("author"), T.count_class(F.col("text"), "a-zA-Z").alias("n_letters")), at, "doc_id")
+    return store.read_files(spark, at)
+
+
+@query(
+    "SELECT conv_id || '_translation.md' AS name, '# Conversation ' || conv_id || chr(10) || 'No. ' || conv_id || chr(10) || chr(10) || CASE WHEN conv_id % 2 = 0 THEN 'By ' || conv_id || chr(10) || chr(10) ELSE '' END || '---' || chr(10) || chr(10) "
+    "|| string_agg(text, chr(10) || chr(10) ORDER BY turn) AS content FROM conversations GROUP BY conv_id"
+)
+def translation_files(spark, d):  # K6, A10
+    at = _folder(spark, "translations")
+    whole = chunking.reassemble(table(spark, d, "conversations"), "conv_id", "turn", "text", "\n\n")
+    number = F.col("conv_id").cast("string")
+    store.write_translations(whole, at, "conv_id", F.concat(F.lit("Conversation "), number), F.concat(F.lit("No. "), number), F.when(F.col("conv_id") % 2 == 0, F.concat(F.lit("By "), number)), "text")
+    return store.read_files(spark, at)
+
+
+@query(
+    "SELECT printf('%02d_', list_position(['" + "','".join(glossary.CATEGORIES) + "'], category)) || category || '.md' AS name, '# ' || category || ' (' || count(*) || ')' || chr(10) || chr(10) "
+    f"|| string_agg('**' || english || '** ' || kind, chr(10) || chr(10) ORDER BY lower(english), english, '**' || english || '** ' || kind) || chr(10) AS content FROM {prepared_sql('part', **ENTRY)} WHERE category <> 'unlisted' GROUP BY category"
+)
+def glossary_files(spark, d):  # K8, A8
+    at = _folder(spark, "glossary")
+    entries = _entries(spark, d).withColumn("line", F.concat(F.lit("**"), "english", F.lit("** "), "kind"))
+    store.write_glossary(entries, at, "category", "english", "line", glossary.CATEGORIES)
+    return store.read_files(spark, at)
+
+
+@query("SELECT 'T' || conv_id AS key, arg_max(text, turn % 3 * 1000 + turn) AS text FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, turn % 3 ORDER BY turn DESC) AS k FROM conversations WHERE text <> '') WHERE k = 1 GROUP BY conv_id")
+def texts_by_key(spark, d):  # S8: of the files of one key the last name wins
+    at = _folder(spark, "texts")
+    rows = table(spark, d, "conversations").where("text <> ''")
+    last = rows.groupBy("conv_id", (F.col("turn") % 3).alias("s")).agg(F.max_by("text", "turn").alias("text"))
+    suffix = F.element_at(F.array(F.lit(""), F.lit("a"), F.lit("b")), (F.col("s") + 1).cast("int"))
+    store.write_files(last, at, F.concat(F.lit("T"), F.col("conv_id").cast("string"), suffix, F.lit(".txt")), F.col("text"))
+    return files.texts(spark, at, r"/(T\d+)[ab]?\.txt$")
+
+
+@query("SELECT conv_id || '.txt' AS name, CAST(sum(strlen(text)) AS BIGINT) AS length FROM conversations WHERE text <> '' GROUP BY conv_id")
+def file_listing(spark, d):  # S20
+    at = _folder(spark, "listed")
+    rows = joined_turns(table(spark, d, "conversations").where("text <> ''"), "text")
+    store.write_files(rows, at, F.concat(F.col("conv_id").cast("string"), F.lit(".txt")), F.col("text"))
+    return files.listing(spark, at).select(F.element_at(F.split("path", "/"), -1).alias("name"), "length")
+
+
+# Answers and notes
+
+ANSWER = "CASE turn % 4 WHEN 0 THEN NULL WHEN 1 THEN 'not json' WHEN 2 THEN '{\"result\":\"\",\"session_id\":\"s' || conv_id || '\"}' ELSE '{\"result\":\"' || role || '\",\"session_id\":\"s' || conv_id || '\",\"cost\":1}' END"
+
+
+@query("SELECT conv_id, turn, CASE WHEN turn % 4 = 3 THEN role END AS result, CASE WHEN turn % 4 > 1 THEN 's' || conv_id END AS session_id, CASE turn % 4 WHEN 0 THEN 'no output' WHEN 1 THEN 'not an answer' WHEN 2 THEN 'empty result' END AS error FROM conversations")
+def parsed_replies(spark, d):  # U3
+    rows = prepared(spark, d, "conversations", conv_id="conv_id", turn="turn", answer=ANSWER)
+    return rows.select("conv_id", "turn", external.parsed_reply(F.col("answer")).alias("r")).select("conv_id", "turn", "r.*")
+
+
+@query(f"SELECT conv_id || '.' || turn AS path, {TRIM.format('text')} || '{{引}}{{二合}}' AS text FROM conversations WHERE {TRIM.format('text')} <> ''")
+def spoken_notes(spark, d):  # C26
+    rows = prepared(spark, d, "conversations", path="conv_id || '.' || turn", text="text", xml=f"'<t><p type=\"dharani\">' || {ESCAPED} || '<note place=\"inline\">引、x,二合</note><note>去</note></p></t>'")
+    return markup.xml_blocks(rows.where(F.regexp_replace("text", r"\s", "") != "")).select("path", F.regexp_replace("text", r"\s*(\{引\}\{二合\})$", "$1").alias("text"))
