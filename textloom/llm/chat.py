@@ -161,6 +161,11 @@ PROBE = r"\### Assistant: </turn> ok"
 
 
 def op1_chat(spark, sf_dir: str) -> DataFrame:
+    """All ``conversations`` and conversation -7, formatted and read back.
+
+    Null roles and texts are empty; repeated turns stay, tied ones by role and then token ids; a null
+    conversation is one of its own.
+    """
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PROBE).alias("text"))
     return read_back(format_conversations(turns.unionByName(probe))).drop("n_tokens", "n_loss_tokens")

@@ -156,6 +156,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
 
 
 def op3_decontamination(spark, sf_dir: str) -> DataFrame:
+    """Every text of ``documents`` against ``benchmark``; windows of 10 words.
+
+    Null and empty texts have no words; repeated documents and items count each for themselves.
+    """
     found = contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     items = F.array_join(F.array_sort(F.transform("item_ids", lambda i: i.cast("string"))), ",")
     return found.select(

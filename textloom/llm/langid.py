@@ -261,4 +261,8 @@ def language(docs: DataFrame) -> DataFrame:
 
 
 def op8_language(spark, sf_dir: str) -> DataFrame:
+    """Every text of ``documents``, learned from the rows outside the held-out fold.
+
+    Null texts and texts without letters are ``und``; each row has its row, repeated ones the same values.
+    """
     return language(read(spark, sf_dir, "documents"))

@@ -292,6 +292,7 @@ def _near_duplicates(docs: DataFrame, tables: Tables, percent: int, words: int)
 
 
 def op7_minhash(spark, sf_dir: str) -> DataFrame:
+    """Every text of ``documents`` by shingles of two words; those without words link with nothing."""
     return near_duplicates(read(spark, sf_dir, "documents"), words=OP7_WORDS)
 
 

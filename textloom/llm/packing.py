@@ -172,4 +172,8 @@ def sequences(placed: DataFrame) -> DataFrame:
 
 
 def op6_packing(spark, sf_dir: str) -> DataFrame:
+    """All ``documents`` in sequences of 1024 tokens; a null text is its end token alone.
+
+    Repeated rows are packed each; which of several equal pieces takes which place is left open.
+    """
     return pack_documents(read(spark, sf_dir, "documents"))

@@ -116,6 +116,7 @@ def quality(docs: DataFrame, host: str = "source", host_limit: float = HOST_LIMI
 
 
 def op10_quality(spark, sf_dir: str) -> DataFrame:
+    """Every text of ``documents``; null and empty texts have no words and fail. Null sources are one host."""
     return quality(read(spark, sf_dir, "documents")).drop("host", "host_rate")
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.common import read, shared_dir
+from textloom.operators.chunking import let
 
 
 @dataclass(frozen=True)
@@ -59,17 +60,25 @@ def rule_spans(text: Column, rule: Rule, rank: int) -> Column:
     found = F.regexp_extract_all(text, pattern, F.lit(0))
     pieces = F.split(text, rule.pattern, -1)
     # state: where the next piece begins, and the spans so far
-    zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{SPAN}>").alias("spans"))
+    none = F.array().cast(f"array<{SPAN}>")
+    state = lambda at, spans: F.struct(at.alias("at"), spans.alias("spans"))
 
-    def step(state: Column, x: Column) -> Column:
-        begin = state["at"] + F.length(x["piece"])
+    def step(s: Column, x: Column) -> Column:
+        begin = s["at"] + F.length(x["piece"])
         end = begin + F.length(x["match"])
         span = F.struct(begin.alias("start"), F.lit(rank).alias("rank"), end.alias("end"))
-        kept = F.when(x["match"].rlike(rule.keep), F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
-        return F.struct(end.alias("at"), kept.alias("spans"))
+        return state(end, F.when(x["match"].rlike(rule.keep), F.concat(s["spans"], F.array(span))).otherwise(s["spans"]))
+
+    def folded(pairs: Column) -> Column:
+        """A fold copies its state at each step, so one over runs of some sqrt(n) pairs carries
+        all spans, and one within it those of the run."""
+        size = F.ceil(F.sqrt(F.size(pairs).cast("double"))).cast("int")  # there is one pair at least
+        runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / size).cast("int")), lambda i: F.slice(pairs, i * size + 1, size))
+        run = lambda s, r: let(F.aggregate(r, state(s["at"], none), step), lambda made: state(made["at"], F.concat(s["spans"], made["spans"])))
+        return F.aggregate(runs, state(F.lit(0).cast("bigint"), none), run, lambda s: s["spans"])
 
     pairs = F.zip_with(pieces, found, lambda p, m: F.struct(p.alias("piece"), F.coalesce(m, F.lit("")).alias("match")))
-    spans = F.aggregate(pairs, zero, step, lambda s: s["spans"])
+    spans = let(pairs, folded)
     return F.when(text.rlike(rule.hint), spans).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 

@@ -340,4 +340,5 @@ def language_model_scores(docs: DataFrame) -> DataFrame:
 
 
 def op9_suffix_tree(spark, sf_dir: str) -> DataFrame:
+    """Every text of ``documents``; a null or blank text is its end token. Repeated rows count each in training."""
     return language_model_scores(read(spark, sf_dir, "documents"))

@@ -205,6 +205,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, with_row: bool = False) -> Data
 
 
 def op4_toxicity(spark, sf_dir: str) -> DataFrame:
+    """Every text of ``documents``, learned from ``labels`` outside the held-out fold.
+
+    Null and empty texts have the score of no words; each row has its row; rows without a label teach nothing.
+    """
     return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
