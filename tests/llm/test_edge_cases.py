@@ -129,3 +129,54 @@ def test_chat_rows(spark):
     assert {i: r["n_turns"] for i, r in got.items()} == {1: 3, 2: 1, None: 1, 3: 1}
     assert got[None]["loss_chars"] == len(LONG)
     assert chat.read_back(chat.format_conversations(df.limit(0))).collect() == []
+
+
+def test_pack_stage_on_odd_tables(spark, folder):
+    """Ids of each document, read back from its pieces; repeated rows are packed each."""
+    import corpus_pipeline
+    import numpy as np
+
+    from textloom.llm.tokens import default_vocabulary, encoder
+
+    rows = corpus_pipeline.pack(spark, table(spark, clash=True), folder).collect()
+    bpe = encoder(default_vocabulary())
+    texts = [(i, t or "") for i, t, _, _ in ROWS]
+    pieces = {}
+    for r in rows:
+        pieces.setdefault((r["doc_id"], r["start"]), []).append(r["ids"])
+    for key, text in set(texts):
+        whole = np.append(np.frombuffer(bpe.encode(text), dtype="<u4"), np.uint32(0)).astype("<u4")
+        for start in range(0, len(whole), 1024):
+            assert [bytes(x) for x in pieces.pop((key, start))] == [whole[start : start + 1024].tobytes()] * texts.count((key, text))
+    assert not pieces
+    by_sequence = {}
+    for r in rows:
+        by_sequence.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for placed in by_sequence.values():
+        ends = [0, *(o + n for o, n in sorted(placed))]
+        assert [o for o, _ in sorted(placed)] == ends[:-1] and ends[-1] <= 1024
+    assert corpus_pipeline.pack(spark, table(spark, [], clash=True), folder).collect() == []
+
+
+def test_suffix_tree_results(spark):
+    got = by_id(suffix_tree.language_model_scores(table(spark, clash=True)))
+    assert got[3]["n_tokens"] == got[4]["n_tokens"] == got[5]["n_tokens"] == 1
+    assert got[3]["base_score"] == got[4]["base_score"] == got[5]["base_score"] < 0
+    assert got[1]["n_tokens"] == 61 and got[2]["n_tokens"] == 62 and len({r["train_tokens"] for r in got.values()}) == 1
+    twice = [r for r in suffix_tree.language_model_scores(table(spark)).collect() if r["doc_id"] == 2]
+    assert len(twice) == 2 and twice[0] == twice[1]
+
+
+def test_many_matches_take_time_in_proportion(spark):
+    import time
+
+    def seconds(n):
+        text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.concat(F.lit("token=abcdefgh"), i.cast("string"))), " ")
+        df = spark.range(1).select(F.size(secrets.rule_spans(text, secrets.RULES[0], 0)).alias("n"))
+        began = time.perf_counter()
+        assert df.first()["n"] == n
+        return time.perf_counter() - began
+
+    seconds(1_000)
+    small, large = seconds(8_000), seconds(32_000)
+    assert large < 6 * small + 2

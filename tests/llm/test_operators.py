@@ -284,3 +284,15 @@ def test_toxicity_of_misspelt_words():
     score = lambda words: model.bias + sum(of[w.encode()] for w in words) / len(words)
     assert sum(score([*clean(), "grobianers", "schlumpfoo", "xgrobian", "grobiann", "schlumpff"]) > 0 for _ in range(30)) >= 28
     assert sum(score(clean()) > 0 for _ in range(30)) <= 1
+
+
+def test_toxicity_held_out(spark):
+    """Against the labels of the fold that nothing was learned from."""
+    d = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{d}/labels.parquet").select("doc_id", "toxic")
+    docs = spark.read.parquet(f"{d}/documents.parquet").join(labels, "doc_id", "left_semi")
+    model = toxicity.toxicity(docs, labels)
+    got = model.join(labels, "doc_id").where("held_out").groupBy("toxic").agg(F.count("*").alias("n"), F.sum("predicted").alias("found")).collect()
+    counts = {r["toxic"]: (r["n"], r["found"]) for r in got}
+    assert counts[1][0] > 100 and counts[1][1] >= 0.85 * counts[1][0]
+    assert counts[0][1] <= 0.02 * counts[0][0]
