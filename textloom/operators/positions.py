@@ -32,8 +32,8 @@ def with_positions(df: DataFrame, order: list[str], name: str = "pos", together:
     Rows that are equal in the order keep that of the input.  Ranges are cut between such
     rows too, so a value that a third of all rows have fills no single task.
     """
-    placed = df.withColumn("__at", F.monotonically_increasing_id())
-    n = max(1, -(-df.count() // together))
+    placed = kept(df.withColumn("__at", F.monotonically_increasing_id()), "rows")  # read for its count, its ranges, and its rows
+    n = max(1, -(-placed.count() // together))
     ranged = kept(placed.repartitionByRange(n, *order, "__at").withColumn("__range", F.spark_partition_id()), "ranges") if n > 1 else placed.withColumn("__range", F.lit(0))
     local = ranged.withColumn("__local", F.row_number().over(Window.partitionBy("__range").orderBy(*order, "__at")) - 1)
     before = F.coalesce(F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row per range

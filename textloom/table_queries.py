@@ -435,6 +435,17 @@ def titles_and_authors(spark, d):  # S12
     return rows.select("page_id", markup.title_and_author(F.col("html")).alias("x")).select("page_id", "x.*")
 
 
+_STARTS = "SELECT page_id, l, i FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a\\s[^>]*href=\"([^\"]*)\"', 1)) AS l, unnest(range(len(regexp_extract_all(html, '<a\\s[^>]*href=\"([^\"]*)\"', 1)))) AS i FROM pages)"
+
+
+@query(f"SELECT page_id, printf('%04d%s%02d', page_id % 10000, chr(CAST(97 + i % 3 AS INT)), i // 3) AS ref, l AS title, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INT) AS idx FROM ({_STARTS}) WHERE l <> '' AND NOT contains(l, '<')")
+def scraped_starts(spark, d):  # S10: starts of sections with their titles
+    ref = lambda i: F.format_string("%04d%s%02d", F.col("page_id") % 10000, F.element_at(F.array(*map(F.lit, "abc")), i % 3 + 1), F.floor(i / 3).cast("int"))
+    span = lambda l, i: F.concat(F.lit('<span class="scrln" x="1" n="'), ref(i), F.lit('" id="y">'), l, F.lit("</span> <span n=\"0001a01\">no</span>"))  # noqa: E731, E741
+    pages = table(spark, d, "pages").select("page_id", F.array_join(F.transform(markup.links(F.col("html")), span), "\n").alias("html"))
+    return pages.select("page_id", F.explode(markup.section_starts(F.col("html"))).alias("s")).select("page_id", "s.*")
+
+
 # Small forms of catalogues
 
 @query("SELECT CAST(conv_id AS VARCHAR) || '.' || turn AS id, CAST((turn * 7 + conv_id % 5) * 60 + conv_id % 60 AS BIGINT) AS seconds, conv_id % 2 = 0 AS shared FROM conversations")
