@@ -25,6 +25,8 @@ Q = 4
 SAMPLED = 16
 #: Grams of terms that are broadcast at most, some 10 MB.
 MOST_BROADCAST = 200_000
+#: Before a short term that a text may hold elsewhere than as a word.
+ANYWHERE = "\x01"
 _WORD = r"[\p{L}\p{N}_]"
 
 
@@ -44,22 +46,32 @@ def short_words(text: Column) -> Column:
 
 
 def _proposals(term: Column, q: int) -> Column:
-    """Grams that a text with the term must hold."""
+    """Grams that a text with the term must hold.
+
+    A short word keys itself, and whoever has it as a word holds it; another short term is
+    marked, as characters of it may stand anywhere.
+    """
     inner = F.array_distinct(grams(term, q, r"\S"))
-    return F.when(F.length(term) <= SHORT, F.array(term)).when(F.size(inner) > 0, inner).otherwise(F.array_distinct(grams(term, q)))
+    short = F.length(term) <= SHORT
+    return F.when(short & _whole_word(term), F.array(term)).when(short, F.array(F.concat(F.lit(ANYWHERE), term))).when(F.size(inner) > 0, inner).otherwise(F.array_distinct(grams(term, q)))
+
+
+def _whole_word(term: Column) -> Column:
+    return term.rlike(rf"^{_WORD}+\z")
 
 
 def _own_grams(text: Column, odd: list[int], spaced: bool, q: int) -> Column:
     """Distinct grams of a text; ``odd``: lengths of short terms that aren't all word
     characters, ``spaced``: whether grams with white space are asked for."""
-    parts = [short_words(text), word_grams(text, q), *(grams(text, n) for n in odd)] + [grams(text, q)] * spaced
+    marked = lambda n: F.transform(F.array_distinct(grams(text, n)), lambda g: F.concat(F.lit(ANYWHERE), g))
+    parts = [short_words(text), word_grams(text, q), *map(marked, odd)] + [grams(text, q)] * spaced
     return F.array_distinct(F.concat(*parts))
 
 
 def holds(text: Column, term: Column) -> Column:
-    """Whether the text has the term: short ones as whole words, others anywhere."""
+    """Whether a text that was proposed has the term: short ones as whole words, others anywhere."""
     quoted = F.concat(F.lit(rf"(?<!{_WORD})\Q"), F.replace(term, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(rf"\E(?!{_WORD})"))
-    return F.when(F.length(term) <= SHORT, F.regexp_like(text, quoted)).otherwise(F.contains(text, term))
+    return F.when(F.length(term) > SHORT, F.contains(text, term)).when(_whole_word(term), F.lit(True)).otherwise(F.regexp_like(text, quoted))
 
 
 def attested_pairs(texts: DataFrame, key: str, text: str, terms: DataFrame, term: str, q: int = Q, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
@@ -73,7 +85,7 @@ def attested_pairs(texts: DataFrame, key: str, text: str, terms: DataFrame, term
     wanted = terms.select(F.col(term).alias("term")).where("term <> ''").distinct()
     keyed = kept(wanted.select("term", F.explode(_proposals(F.col("term"), q)).alias("gram")), "grams")
     short = F.length("term") <= SHORT
-    odd = F.collect_set(F.when(short & ~F.col("term").rlike(rf"^{_WORD}+$"), F.length("term")))  # SHORT of them at most
+    odd = F.collect_set(F.when(short & ~_whole_word(F.col("term")), F.length("term")))  # SHORT of them at most
     known = keyed.agg(odd.alias("odd"), F.count_if(~short & F.col("gram").rlike(r"\s")).alias("spaced"), F.count("*").alias("n")).first()
     small = known["n"] <= most_broadcast
     sent = F.broadcast if small else (lambda df: df)
