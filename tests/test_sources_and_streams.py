@@ -188,6 +188,17 @@ def test_filters_spare_requests(spark, tmp_path):
     assert set((tmp_path / "log.txt").read_text().split("\n")) == {"", "a 0001", "a 0002", "b 0001", "b 0002"}
 
 
+def test_pages_of_five_digits(spark, tmp_path):
+    at, numbers = str(tmp_path / "long"), range(9997, 10004)
+    pages = [("a", p, anchor(f"{p:04d}a01", f"t{p}")) for p in numbers] + [("b", 7, anchor("0007a01", "t7")), ("b", 8, anchor("0008a01", "t8"))]
+    paged.store_pages(spark.createDataFrame(pages, "text_id string, page int, html string"), at)
+    df = paged.paged_texts(spark, at, delay=0.0)
+    whole = {("a", f"{p:04d}a01", f"t{p}") for p in numbers} | {("b", "0007a01", "t7"), ("b", "0008a01", "t8")}
+    assert set(map(tuple, df.collect())) == whole
+    for bound in ("0007a01", "1000", "9998a01"):  # references are compared as strings
+        assert set(map(tuple, df.where(F.col("ref") <= bound).collect())) == {r for r in whole if r[1] <= bound}
+
+
 def test_pauses_grow_between_tries():
     slept = []
 

@@ -29,8 +29,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers that plan
 #: Seconds before each request, and how often one is tried; fixed values.
 DELAY, TRIES = 1.5, 3
 #: An anchored line and its characters; fixed formats.
-LINE = re.compile(r'<a\s+name="(\d{4}[abc]\d{2})"\s+class="al"><span class="tx">(.*?)</span></a>', re.DOTALL)
+LINE = re.compile(r'<a\s+name="(\d{4,}[abc]\d{2})"\s+class="al"><span class="tx">(.*?)</span></a>', re.DOTALL)
 CHARACTER = re.compile(r'<span class="ec"[^>]*>(.*?)</span>')
+#: The largest page of four digits; up to it, references in order of their characters are in order of their pages.
+FOUR_DIGITS = 9999
 
 Fetch = Callable[[str, str], str]
 
@@ -67,19 +69,24 @@ class Polite:
         return None
 
 
+def page_of(ref: str) -> int:
+    """The page of a reference, which has four digits or more."""
+    return int(ref[:-3])
+
+
 def lines_of(get: Callable[[str, str], str | None], text_id: str, first: int, last: int) -> Iterator[list[tuple[str, str]]]:
     """(ref, text) of a text, a list for each answer."""
     known: set[str] = set()
     page = first
     while page <= last:
         answer = get(text_id, f"{page:04d}") or ""
-        found = {ref: body for ref, body in reversed(LINE.findall(answer)) if int(ref[:4]) <= last}  # the first of each
+        found = {ref: body for ref, body in reversed(LINE.findall(answer)) if page_of(ref) <= last}  # the first of each
         new = [(ref, "".join(CHARACTER.findall(found[ref]))) for ref in sorted(found.keys() - known)]
         if not new:
             return
         yield new
         known |= found.keys()
-        page = max(int(ref[:4]) for ref in found) + 1
+        page = max(map(page_of, found)) + 1
 
 
 @dataclass
@@ -91,10 +98,11 @@ class PagedReader(DataSourceReader):
     def __init__(self, folder: str, get: Callable[[str, str], str | None]):
         self.folder, self.get = folder, get
         self.only: set | None = None
-        self.last = 9999
+        self.last = FOUR_DIGITS
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        """Texts that aren't asked for are not requested, nor pages beyond a bound on the reference."""
+        """Texts that aren't asked for are not requested, nor pages beyond a bound on the reference,
+        unless the text has pages of five digits."""
         for f in filters:
             if isinstance(f, EqualTo | In) and f.attribute == ("text_id",):
                 values = {f.value} if isinstance(f, EqualTo) else set(f.value)
@@ -114,7 +122,8 @@ class PagedReader(DataSourceReader):
             texts = [json.loads(line) for line in f.read().decode("utf-8").splitlines() if line]
         for text in texts:
             if self.only is None or text["text_id"] in self.only:
-                for lines in lines_of(self.get, text["text_id"], int(text["first"]), min(int(text["last"]), self.last)):
+                last = int(text["last"])
+                for lines in lines_of(self.get, text["text_id"], int(text["first"]), last if last > FOUR_DIGITS else min(last, self.last)):
                     refs, contents = zip(*lines, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array([text["text_id"]] * len(lines)), pa.array(refs), pa.array(contents)], names=["text_id", "ref", "text"])
 
@@ -151,7 +160,7 @@ def paged_texts(spark: SparkSession, path: str, source: type[PagedTexts] = Paged
 
 def store_pages(pages: DataFrame, path: str, slices: int = 8) -> None:
     """Write pages (text_id, page, html) as a store with an index of first and last pages."""
-    number = F.format_string("%04d", F.col("page"))
-    write_files(pages, path, F.concat(F.lit("pages/"), F.col("text_id"), F.lit("/"), number, F.lit(".html")), F.col("html"))
-    bounds = pages.groupBy("text_id").agg(F.min(number).alias("first"), F.max(number).alias("last"))
+    number = lambda page: F.format_string("%04d", page)
+    write_files(pages, path, F.concat(F.lit("pages/"), F.col("text_id"), F.lit("/"), number(F.col("page")), F.lit(".html")), F.col("html"))
+    bounds = pages.groupBy("text_id").agg(number(F.min("page")).alias("first"), number(F.max("page")).alias("last"))
     bounds.repartition(slices, "text_id").write.mode("overwrite").json(f"{path}/index")
