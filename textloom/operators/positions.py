@@ -26,6 +26,16 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Tasks for each core among which ``spread`` deals rows.
+SPREAD = 4
+
+
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Rows dealt to all cores, at random or by columns: a file that compresses well is one
+    task, however much there is to do with its rows."""
+    return df.repartition(SPREAD * df.sparkSession.sparkContext.defaultParallelism, *by)
+
+
 def with_positions(df: DataFrame, order: list[str], name: str = "pos", together: int = TOGETHER) -> DataFrame:
     """``df`` with ``name``: places from 0 in the order of these columns, gapless.
 

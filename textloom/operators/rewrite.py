@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from textloom.operators.chunking import let
+
 #: Transliterations with their marks restored, in order; fixed values.
 MARKS = (
     ("Sakyamuni", "Śākyamuni"), ("Shakyamuni", "Śākyamuni"), ("Surangama", "Śūraṅgama"), ("sramanera", "śrāmaṇera"), ("Sramanera", "Śrāmaṇera"),
@@ -34,17 +36,25 @@ def _start(text: Column) -> Column:
     return F.struct(text.alias("text"), F.lit(0).cast("long").alias("n"))
 
 
+def _if_held(s: Column, find: Column, rewritten) -> Column:
+    """The state after a rule; a text that doesn't hold what the rule finds is only looked through once."""
+    return F.when(~F.contains(s["text"], find), s).otherwise(rewritten)
+
+
 def whole_words(text: Column, rules: tuple[tuple[str, str], ...]) -> Column:
-    """``struct<text, n>``: each rule on the result of those before, whole words only.
+    """``struct<text, n>``: each rule (literal text, what is put for it) on the result of those before, whole words only.
 
-    A fold over the table of rules, so a count never nests the rewrites before it.
+    A fold over the table of rules, so a count never nests the rewrites before it.  A pattern
+    begins with the text that is looked for, which lets a search skip most characters.
     """
-    table = _table(tuple((rf"(?<![\p{{L}}\p{{N}}_]){a}(?![\p{{L}}\p{{N}}_])", b) for a, b in rules))
+    word = r"[\p{L}\p{N}_]"
+    table = F.array(*(F.struct(F.lit(a).alias("find"), F.lit(b).alias("put"), F.lit(rf"\Q{a}\E(?<!{word}\Q{a}\E)(?!{word})").alias("pattern")) for a, b in rules))
 
     def step(s: Column, r: Column) -> Column:
-        return F.struct(F.call_function("regexp_replace", s["text"], r["find"], r["put"]).alias("text"), (s["n"] + F.regexp_count(s["text"], r["find"])).alias("n"))
+        made = lambda parts: F.struct(F.call_function("array_join", parts, r["put"]).alias("text"), (s["n"] + F.size(parts) - 1).alias("n"))
+        return _if_held(s, r["find"], let(F.split(s["text"], r["pattern"], -1), made))
 
-    return F.aggregate(table, _start(text), step)
+    return F.when(text.isNotNull(), F.aggregate(table, _start(text), step))
 
 
 def literal(text: Column, rules: tuple[tuple[str, str], ...]) -> Column:
@@ -53,18 +63,18 @@ def literal(text: Column, rules: tuple[tuple[str, str], ...]) -> Column:
     def step(s: Column, r: Column) -> Column:
         without = F.length(F.call_function("replace", s["text"], r["find"], F.lit("")))
         n = F.floor((F.length(s["text"]) - without) / F.length(r["find"])).cast("long")
-        return F.struct(F.call_function("replace", s["text"], r["find"], r["put"]).alias("text"), (s["n"] + n).alias("n"))
+        return _if_held(s, r["find"], F.struct(F.call_function("replace", s["text"], r["find"], r["put"]).alias("text"), (s["n"] + n).alias("n")))
 
-    return F.aggregate(_table(rules), _start(text), step)
+    return F.when(text.isNotNull(), F.aggregate(_table(rules), _start(text), step))
 
 
 def _by_line(text: Column, rewrite) -> Column:
     """``struct<text, n>`` from one such struct per line."""
-    parts = F.transform(F.split(text, "\n", -1), rewrite)
-    return F.struct(
+    whole = lambda parts: F.struct(
         F.array_join(F.transform(parts, lambda p: p["text"]), "\n").alias("text"),
         F.aggregate(parts, F.lit(0).cast("long"), lambda s, p: s + p["n"]).alias("n"),
     )
+    return let(F.transform(F.split(text, "\n", -1), rewrite), whole)
 
 
 def outside_headings(text: Column, rules: tuple[tuple[str, str], ...]) -> Column:

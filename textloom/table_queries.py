@@ -192,7 +192,7 @@ _MARKS = "MAP {" + ", ".join(f"'{a}': '{b}'" for a, b in rewrite.MARKS) + "}"
 
 @query(f"SELECT doc_id, array_to_string(list_transform(w, lambda x: coalesce(m[x], x)), '') AS text, CAST(len(list_filter(w, lambda x: m[x] IS NOT NULL)) AS BIGINT) AS n FROM (SELECT doc_id, {_TOKENS} AS w, {_MARKS} AS m FROM {prepared_sql('documents', **MARKED)})")
 def rewrite_marks(spark, d):  # C17
-    return prepared(spark, d, "documents", **MARKED).select("doc_id", rewrite.whole_words(F.col("text"), rewrite.MARKS).alias("r")).select("doc_id", "r.text", "r.n")
+    return positions.spread(prepared(spark, d, "documents", **MARKED)).select("doc_id", rewrite.whole_words(F.col("text"), rewrite.MARKS).alias("r")).select("doc_id", "r.text", "r.n")
 
 
 SPELLED = {"doc_id": "doc_id", "text": "replace(replace(replace(replace(text, 'the', 'wholesome roots'), 'and', 'Blessed Ones'), 'que', 'Three Jewels'), 'der', 'Expedient means')"}
@@ -200,7 +200,7 @@ SPELLED = {"doc_id": "doc_id", "text": "replace(replace(replace(replace(text, 't
 
 @query(f"SELECT doc_id, {nested(rewrite.SPELLINGS)} AS text, CAST({literal_count(rewrite.SPELLINGS)} AS BIGINT) AS n FROM {prepared_sql('documents', **SPELLED)}")
 def rewrite_spellings(spark, d):  # C18, its fixed rules
-    return prepared(spark, d, "documents", **SPELLED).select("doc_id", rewrite.literal(F.col("text"), rewrite.SPELLINGS).alias("r")).select("doc_id", "r.text", "r.n")
+    return positions.spread(prepared(spark, d, "documents", **SPELLED)).select("doc_id", rewrite.literal(F.col("text"), rewrite.SPELLINGS).alias("r")).select("doc_id", "r.text", "r.n")
 
 
 HEADED = {"doc_id": "doc_id", "text": "replace(replace(replace(replace(replace(text, '. ', '.' || chr(10)), chr(10) || 'E', chr(10) || '# E'), chr(10) || 'T', chr(10) || '## T'), 'the', 'Bath Hall'), 'que', 'Dharma Hall')"}
@@ -212,7 +212,7 @@ _COUNT_CASE = literal_count(rewrite.RUNNING_TEXT).replace("text", "l")
     f"CAST(coalesce(list_sum(list_transform(ls, lambda l: CASE WHEN starts_with(l, '#') THEN 0 ELSE {_COUNT_CASE} END)), 0) AS BIGINT) AS n FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM {prepared_sql('documents', **HEADED)})"
 )
 def heading_safe_rewrite(spark, d):  # C19
-    return prepared(spark, d, "documents", **HEADED).select("doc_id", rewrite.outside_headings(F.col("text"), rewrite.RUNNING_TEXT).alias("r")).select("doc_id", "r.text", "r.n")
+    return positions.spread(prepared(spark, d, "documents", **HEADED)).select("doc_id", rewrite.outside_headings(F.col("text"), rewrite.RUNNING_TEXT).alias("r")).select("doc_id", "r.text", "r.n")
 
 
 DASHED = {"doc_id": "doc_id", "text": "replace(replace(replace(replace(replace(text, '. ', '.' || chr(10)), chr(10) || 'E', chr(10) || '# E'), ', ', '—'), ' et ', ' — '), ',' || chr(10), '— ' || chr(10))"}
@@ -226,7 +226,7 @@ WITH x AS (SELECT doc_id, list_transform(string_split(text, chr(10)), lambda l,
   WHEN i <= 8 THEN {{'t': l, 'n': 0}} ELSE {{'t': {_STEPS}, 'n': 1}} END) AS ls FROM {prepared_sql("documents", **DASHED)})
 SELECT doc_id, array_to_string(list_transform(ls, lambda x: x.t), chr(10)) AS text, CAST(list_sum(list_transform(ls, lambda x: x.n)) AS BIGINT) AS n FROM x""")
 def dash_rewrite(spark, d):  # C20, W6
-    return prepared(spark, d, "documents", **DASHED).select("doc_id", rewrite.dashes(F.col("text")).alias("r")).select("doc_id", "r.text", "r.n")
+    return positions.spread(prepared(spark, d, "documents", **DASHED)).select("doc_id", rewrite.dashes(F.col("text")).alias("r")).select("doc_id", "r.text", "r.n")
 
 
 CLEANED = {"key": "doc_id", "text": "replace(replace(replace(replace(text, ' the ', ' sutra '), ' of ', ' wholesome roots '), ' la ', ' Bath Hall '), ', ', ' —')"}
@@ -500,7 +500,7 @@ def chunk_files(spark, d):  # K4
 @query("""SELECT doc_id || '_meta.json' AS name, '{"doc_id":' || doc_id || ',"lang":"' || lang || '","n_chars":' || n_chars || ',"author":null,"n_letters":' || length(regexp_replace(text, '[^a-zA-Z]', '', 'g')) || '}' AS content FROM documents WHERE lang IS NOT NULL""")
 def metadata_files(spark, d):  # K2
     at = _folder(spark, "metadata")
-    docs = table(spark, d, "documents").where("lang IS NOT NULL")
+    docs = positions.spread(table(spark, d, "documents").where("lang IS NOT NULL"))
     store.write_metadata(docs.select("doc_id", "lang", "n_chars", F.lit(None).cast("string").alias("author"), T.count_class(F.col("text"), "a-zA-Z").alias("n_letters")), at, "doc_id")
     return store.read_files(spark, at)
 
