@@ -160,3 +160,29 @@ def test_sinks_and_lookups(spark, tmp_path):
     found, missing = catalog.looked_up(df.select("key"), df.where("title IS NOT NULL").select("key", "title"), "key")
     assert [tuple(r) for r in found.collect()] == [("T1", "Heart")] and [r["key"] for r in missing.collect()] == ["T2"]
     assert catalog.at_most(df, "key", 0).count() == 2 == catalog.at_most(df, "key", None).count()
+
+
+def test_rewrites_are_dealt_to_all_cores(spark):
+    from textloom.operators import rewrite
+    from textloom.plans import runs
+
+    one = spark.createDataFrame([(str(i), "a sutra, xsutra (sutra) Dogen" if i else None) for i in range(40)], "key string, text string").coalesce(1)
+    cleaned = runs.cleanup_run(one)  # a file that compresses well is one partition
+    assert cleaned.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    got = {(r["text"], r["n"]) for r in one.select(rewrite.whole_words(F.col("text"), rewrite.MARKS).alias("r")).select("r.*").collect()}
+    assert got == {("a sūtra, xsutra (sūtra) Dōgen", 3), (None, None)}
+
+
+def test_terms_are_looked_for_in_distinct_words(spark):
+    from textloom.operators import attestation
+
+    texts = spark.createDataFrame([(1, "a-b xx the\ttheory"), (1, "the"), (2, "in the\nend"), (None, "the end"), (3, "")], "id int, t string")
+    terms = spark.createDataFrame([("the",), ("theo",), ("e end",), ("the\nend",), ("a-b",), ("",), (None,)], "term string")
+    want = {("the", 1), ("theo", 1), ("the", 2), ("the\nend", 2), ("the", None), ("e end", None), ("a-b", 1)}
+    for most in (1000, 0):
+        found = attestation.attested_pairs(texts, "id", "t", terms, "term", most_broadcast=most)
+        rows = [tuple(r) for r in found.collect()]
+        assert len(rows) == len(set(rows)) and {r for r in rows if r[1] is not None} == {w for w in want if w[1] is not None}
+        assert most == 0 or set(rows) == want
+    deal = attestation.attested_pairs(texts.coalesce(1), "id", "t", terms.where("term = 'the'"), "term")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(key" in deal

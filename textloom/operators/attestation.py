@@ -6,9 +6,11 @@ proposed is then looked for in the text itself.  So the plan is the same for one
 million, no term meets every text, and the result is that of a search for each term in each
 text, whichever gram keys it.
 
-Grams lie within words, so those of a text are those of its distinct words; only terms
-that have no word of q characters are keyed by grams with white space.  Terms of up to
-``SHORT`` characters count as whole words only.
+A term without white space lies within a word, between white space, so such terms are
+looked for once in each distinct word of all texts, and a text holds those of its words.
+Terms with white space are looked for in the texts; only those that have no word of q
+characters are keyed by grams with white space.  Terms of up to ``SHORT`` characters count
+as whole words only.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.operators.positions import kept
+from textloom.operators.positions import kept, spread
 
 #: Terms of up to this length match whole words only; a fixed value.
 SHORT = 3
@@ -74,22 +76,14 @@ def holds(text: Column, term: Column) -> Column:
     return F.when(F.length(term) > SHORT, F.contains(text, term)).when(_whole_word(term), F.lit(True)).otherwise(F.regexp_like(text, quoted))
 
 
-def attested_pairs(texts: DataFrame, key: str, text: str, terms: DataFrame, term: str, q: int = Q, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
-    """``term``, ``key``: every pair in which a text of that key holds the term, once.
-
-    Empty and null terms are in no text.  How many texts hold a gram is counted on one in
-    ``SAMPLED`` texts; it decides what a search costs, not what it finds.  Up to
-    ``most_broadcast`` rows, the terms' grams go to every task, and texts stay where they are;
-    beyond that, grams are shuffled, and what they propose meets the texts by their keys.
-    """
-    wanted = terms.select(F.col(term).alias("term")).where("term <> ''").distinct()
-    keyed = kept(wanted.select("term", F.explode(_proposals(F.col("term"), q)).alias("gram")), "grams")
+def _searched(own: DataFrame, terms: DataFrame, q: int, most_broadcast: int) -> DataFrame:
+    """``term``, ``key``: the texts (``key``, ``text``) that hold the terms, by grams, once."""
+    keyed = kept(terms.select("term", F.explode(_proposals(F.col("term"), q)).alias("gram")), "grams")
     short = F.length("term") <= SHORT
     odd = F.collect_set(F.when(short & ~_whole_word(F.col("term")), F.length("term")))  # SHORT of them at most
     known = keyed.agg(odd.alias("odd"), F.count_if(~short & F.col("gram").rlike(r"\s")).alias("spaced"), F.count("*").alias("n")).first()
     small = known["n"] <= most_broadcast
     sent = F.broadcast if small else (lambda df: df)
-    own = texts.select(F.col(key).alias("key"), F.col(text).alias("text")).where("text <> ''")
     exploded = F.explode(_own_grams(F.col("text"), sorted(known["odd"]), known["spaced"] > 0, q)).alias("gram")
     sample = own.where(F.pmod(F.xxhash64("key"), F.lit(SAMPLED)) == 0)
     held = sample.select(exploded).join(sent(keyed.select("gram").distinct()), "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("n"))
@@ -103,6 +97,30 @@ def attested_pairs(texts: DataFrame, key: str, text: str, terms: DataFrame, term
     return proposed.where(holds(F.col("text"), F.col("term"))).select("term", "key").distinct()
 
 
+def attested_pairs(texts: DataFrame, key: str, text: str, terms: DataFrame, term: str, q: int = Q, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
+    """``term``, ``key``: every pair in which a text of that key holds the term, once.
+
+    Empty and null terms are in no text.  How many texts hold a gram is counted on one in
+    ``SAMPLED`` texts; it decides what a search costs, not what it finds.  Up to
+    ``most_broadcast`` rows, the terms' grams and the words that hold terms go to every task,
+    and texts stay where they are; beyond that, they are shuffled.
+    """
+    wanted = kept(terms.select(F.col(term).alias("term")).where("term <> ''").distinct(), "terms")
+    spaced = F.col("term").rlike(r"\s")
+    own = texts.select(F.col(key).alias("key"), F.col(text).alias("text")).where("text <> ''")
+    words = F.explode(F.array_distinct(F.split("text", r"\s+"))).alias("word")
+    vocabulary = kept(spread(own.select("text")).select(words).where("word <> ''").distinct(), "words")
+    vocabulary = spread(vocabulary.select(F.col("word").alias("key"), F.col("word").alias("text")))
+    found = _searched(vocabulary, wanted.where(~spaced), q, most_broadcast)
+    holding = kept(found.groupBy(F.col("key").alias("word")).agg(F.collect_list("term").alias("terms")), "holding")
+    sent = F.broadcast(holding) if holding.count() <= most_broadcast else holding
+    # dealt by their keys, so that pairs are made single where they are
+    of_words = spread(own, "key").select("key", words).join(sent, "word").select(F.explode("terms").alias("term"), "key").distinct()
+    if wanted.where(spaced).isEmpty():
+        return of_words
+    return of_words.unionByName(_searched(own, wanted.where(spaced), q, most_broadcast))
+
+
 def attestation(texts: DataFrame, key: str, text: str, terms: DataFrame | list[str]) -> DataFrame:
     """``term``, ``n_texts``, ``first_key`` of every term that a text has; ``terms`` has a column of that name."""
     if isinstance(terms, list):

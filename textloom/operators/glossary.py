@@ -19,8 +19,11 @@ HINTS = (
     ("practice", ("meditation", "practice", "concentration", "attainment", "perfection", "stage", "path", "precept", "virtue")),
     ("cosmological", ("eon", "kalpa", "age", "period", "realm", "existence", "rebirth", "cycle")),
 )
-def _sources() -> Column:
-    return F.array_sort(F.array_distinct(F.flatten(F.collect_list("sources")))).alias("sources")
+
+
+def _sources(entries: DataFrame) -> list[Column]:
+    """The sources of merged entries, for entries that list theirs."""
+    return [F.array_sort(F.array_distinct(F.flatten(F.collect_list("sources")))).alias("sources")] if "sources" in entries.columns else []
 
 
 def _best(entries: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -30,24 +33,28 @@ def _best(entries: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
     """
     rank = F.struct(*(o.alias(f"o{i}") for i, o in enumerate(order)))
     kept = F.struct("english", "chinese", "sanskrit", "category")
-    return entries.groupBy(*keys).agg(F.min_by(kept, rank).alias("best"), _sources(), F.min("pos").alias("first_pos")).select("best.*", "sources", "first_pos")
+    sources = _sources(entries)
+    return entries.groupBy(*keys).agg(F.min_by(kept, rank).alias("best"), *sources, F.min("pos").alias("first_pos")).select("best.*", *["sources"] * len(sources), "first_pos")
 
 
 def dedup_by_source_term(entries: DataFrame) -> DataFrame:
     """Rows of one source term and category merged: with marks first, then shorter, then by
     alphabet; rows without source term by English without plural: most sources, then
-    shorter, then first."""
+    shorter, then first.  Entries have ``sources``, or ``n_sources``, their number, where
+    nothing that follows needs more."""
+    n_sources = F.size("sources") if "sources" in entries.columns else F.col("n_sources")
     with_term = entries.where("chinese <> ''")
     without = entries.where("chinese = ''").withColumn("norm", term_key(F.col("english")))
     a = _best(with_term, ["chinese", "category"], [~has_diacritics(F.col("english")), F.length("english"), F.col("english"), F.col("pos")]).withColumn("part", F.lit(0))
-    b = _best(without, ["norm", "category"], [-F.size("sources"), F.length("english"), F.col("pos")]).withColumn("part", F.lit(1))
+    b = _best(without, ["norm", "category"], [-n_sources, F.length("english"), F.col("pos")]).withColumn("part", F.lit(1))
     return a.unionByName(b)
 
 
 def dedup_across_categories(entries: DataFrame) -> DataFrame:
     """One row per English term in any case: the first in (part, first_pos) order."""
     kept = F.struct("english", "chinese", "sanskrit", "category", "part", "first_pos")
-    return entries.groupBy(F.lower("english").alias("__key")).agg(F.min_by(kept, F.struct("part", "first_pos")).alias("best"), _sources()).select("best.*", "sources")
+    sources = _sources(entries)
+    return entries.groupBy(F.lower("english").alias("__key")).agg(F.min_by(kept, F.struct("part", "first_pos")).alias("best"), *sources).select("best.*", *["sources"] * len(sources))
 
 
 def overlay(own: DataFrame, published: DataFrame, prefix: str = "") -> DataFrame:

@@ -29,14 +29,14 @@ def batch_run(sources: DataFrame, done: DataFrame, fn: Callable[[str], str], siz
 
 
 def glossary_run(texts: DataFrame, seed: DataFrame, published: DataFrame) -> DataFrame:
-    """Seed terms that texts attest, with the texts as sources, merged and overlaid.
+    """Seed terms that texts attest, merged by the number of their texts, and overlaid.
 
     ``texts``: key, text; ``seed``: pos, english, chinese, sanskrit, category, of any size;
     ``published``: pos, english, sanskrit, definition, source.  Merged entries keep the order
     of the seed, which decides which of several rows with one term is the last.
     """
     pairs = attestation.attested_pairs(texts, "key", "text", seed, "english")
-    sources = pairs.groupBy(F.col("term").alias("english")).agg(F.array_sort(F.collect_set("key")).alias("sources"))
+    sources = pairs.groupBy(F.col("term").alias("english")).agg(F.count("key").alias("n_sources"))
     merged = glossary.dedup_across_categories(glossary.dedup_by_source_term(seed.join(sources, "english")))
     return glossary.overlay(positions.with_positions(merged, ["part", "first_pos"]), published)
 
@@ -44,7 +44,7 @@ def glossary_run(texts: DataFrame, seed: DataFrame, published: DataFrame) -> Dat
 def cleanup_run(texts: DataFrame) -> DataFrame:
     """``key``, ``text`` after the four rewrites in order, and how often each changed something."""
     step = lambda df, name, made: df.withColumn("__r", made).withColumn("text", F.col("__r.text")).withColumn(name, F.col("__r.n")).drop("__r")
-    df = texts.select("key", "text")
+    df = positions.spread(texts.select("key", "text"))
     df = step(df, "n_marks", rewrite.whole_words(F.col("text"), rewrite.MARKS))
     df = step(df, "n_spellings", rewrite.literal(F.col("text"), rewrite.SPELLINGS))
     df = step(df, "n_case", rewrite.outside_headings(F.col("text"), rewrite.RUNNING_TEXT))
