@@ -131,6 +131,16 @@ def test_an_aborted_job_leaves_no_file(spark, tmp_path, bad):
     assert [p for p in Path(at).rglob("*") if p.is_file()] == []
 
 
+def test_many_small_files_are_written_by_all_cores(spark, tmp_path):
+    at = str(tmp_path / "files")
+    store.write_files(spark.range(64).select(F.col("id").cast("string").alias("n")), at, F.col("n"), F.lit("x"))
+    assert len({p.stat().st_ino for p in Path(at).iterdir()}) == 64 and not Path(at, "_staging").exists()
+    for i in range(64, 1200):
+        Path(at, str(i)).write_text("x")
+    whole = store.read_files(spark, at)
+    assert whole.rdd.getNumPartitions() <= 16 and whole.count() == 1200  # else 32 files a task
+
+
 def test_sections_say_which_of_how_many(spark, tmp_path):
     rows = spark.createDataFrame([("T1", 1, "one", 3), ("T1", 2, " \n　", 3), ("T1", 12, "two", 3)], "k string, num int, c string, n long")
     store.write_sections(rows, str(tmp_path / "s"), "k", "num", "c", "n", F.concat(F.lit("Title "), "k"))
@@ -248,6 +258,17 @@ def test_waits_until_the_job_has_ended(spark, tmp_path):
     assert waits == [60.0, 60.0] and polled.merged(spark, str(tmp_path / "sink")).count() == 1
 
 
+def test_result_files_are_dealt_to_a_bounded_number_of_tasks(tmp_path):
+    for n in range(1000):
+        (tmp_path / "results").mkdir(exist_ok=True)
+        (tmp_path / "results" / f"{n:06d}.json").write_text("\n".join(json.dumps({"custom_id": f"{n}.{k}"}) for k in range(2)))
+    reader = polled.ResultReader(str(tmp_path))
+    for start, end in ((0, 1000), (3, 1000), (0, 1), (7, 7)):
+        parts = reader.partitions({"files": start}, {"files": end})
+        assert len(parts) <= 200
+        assert [(r[0], r[5]) for p in parts for r in reader.read(p)] == [(f"{n}.{k}", n * 1_000_000 + k) for n in range(start, end) for k in range(2)]
+
+
 # Claims
 
 

@@ -46,9 +46,16 @@ def set_status(path: str, files: int, ended: bool) -> None:
     fs.move(f"{root}/.status.new", f"{root}/status.json")
 
 
+#: Tasks among which the new files of a batch are dealt at most.
+SLICES = 200
+
+
 @dataclass
-class ResultFile(InputPartition):
-    number: int
+class ResultFiles(InputPartition):
+    """Files from ``first`` to before ``end``."""
+
+    first: int
+    end: int
 
 
 class ResultReader(DataSourceStreamReader):
@@ -61,15 +68,18 @@ class ResultReader(DataSourceStreamReader):
     def latestOffset(self) -> dict:
         return {"files": job_status(self.path)["files"]}
 
-    def partitions(self, start: dict, end: dict) -> list[ResultFile]:
-        return [ResultFile(n) for n in range(start["files"], end["files"])]
+    def partitions(self, start: dict, end: dict) -> list[ResultFiles]:
+        each = max(1, -(-(end["files"] - start["files"]) // SLICES))
+        return [ResultFiles(n, min(n + each, end["files"])) for n in range(start["files"], end["files"], each)]
 
-    def read(self, partition: ResultFile) -> Iterator[tuple]:
+    def read(self, partition: ResultFiles) -> Iterator[tuple]:
         fs, root = located(self.path)
-        with fs.open_input_stream(f"{root}/results/{partition.number:06d}.json") as f:
-            for i, line in enumerate(f.read().decode("utf-8").splitlines()):
-                row = json.loads(line) | {"number": partition.number * 1_000_000 + i}
-                yield tuple(row.get(field.split()[0]) for field in RESULT.split(", "))
+        fields = [field.split()[0] for field in RESULT.split(", ")]
+        for number in range(partition.first, partition.end):
+            with fs.open_input_stream(f"{root}/results/{number:06d}.json") as f:
+                for i, line in enumerate(f.read().decode("utf-8").splitlines()):
+                    row = json.loads(line) | {"number": number * 1_000_000 + i}
+                    yield tuple(row.get(field) for field in fields)
 
     def commit(self, end: dict) -> None:
         """Result files belong to the job, so nothing is cleared."""
