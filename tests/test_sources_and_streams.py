@@ -336,6 +336,28 @@ def test_failed_drafts_stay_as_rows(spark, tmp_path):
     assert [external.growing()(n) for n in (1, 2, 3)] == [60.0, 120.0, 180.0]
 
 
+def test_tries_of_a_memo_are_lines_of_few_files(spark, tmp_path):
+    """However often a content is tried; rows of one content, in whatever tasks they were, call once."""
+    rows = spark.createDataFrame([(f"bad{i % 3}",) for i in range(60)], "t string").repartition(5)
+    fn = counting(tmp_path, lambda x, n: True)
+    done = external.transform_chunks(rows, "t", fn, tries=4, memo=str(tmp_path / "memo"))
+    assert {r["attempts"] for r in done.collect() + done.collect()} == {4}
+    assert len((tmp_path / "calls.txt").read_text().split()) == 3 * 4
+    files = [p for p in (tmp_path / "memo").rglob("*") if p.is_file()]
+    assert len(files) <= 3 and sum(len(p.read_text().splitlines()) for p in files) == 3 * 4
+
+
+def test_a_memo_ends_at_a_broken_line(tmp_path):
+    memo = external.Memo(str(tmp_path), "call")
+    memo.put("a", external.Outcome("A", None, 1, 0.0))
+    memo.close()
+    (file,) = (p for p in tmp_path.rglob("*") if p.is_file())
+    with file.open("a") as f:
+        f.write('["dead')
+    again = external.Memo(str(tmp_path), "call")
+    assert (again.get("a").result, again.get("b").attempts) == ("A", 0)
+
+
 # Deadlines
 
 

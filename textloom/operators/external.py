@@ -12,7 +12,7 @@ import json
 import time
 import uuid
 from collections.abc import Callable, Iterable, Iterator
-from dataclasses import asdict, dataclass
+from dataclasses import astuple, dataclass
 
 import pandas as pd
 from pyarrow import fs as arrow_fs
@@ -20,12 +20,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.shipping import ship
-from textloom.sources.store import located
+from textloom.sources.store import TASKS, located
 
 RESULT = "result string, error string, attempts int, elapsed double"
 RESULT_COLUMNS = [c.split()[0] for c in RESULT.split(", ")]
 #: Tries and seconds of the first wait of a draft or review; fixed values.
 DRAFT_TRIES, DRAFT_WAIT = 5, 60.0
+#: Digits of a content's hash that name its bucket, and the column that holds them meanwhile.
+BUCKET_DIGITS, BUCKET = 3, "__bucket"
+#: Seconds after which a memo's file is closed.
+OPEN_SECONDS = 1.0
 
 
 @dataclass
@@ -37,34 +41,75 @@ class Outcome:
 
 
 class Memo:
-    """Outcomes of one stage in a shared folder, a file for each content.
+    """Outcomes of one stage in a shared folder.
 
-    An outcome is put down after every try, aside first and then moved to its name, so it is
-    there whole or not at all.
+    Contents are dealt to buckets by the first digits of their hash, a folder each.  Every try is appended to a
+    file of the memo's own as soon as it has ended, a line each; a file is closed at the end
+    of its bucket, or after the first try that ends when it is ``OPEN_SECONDS`` old, for stores
+    that show what is written only then.  All files of a bucket are read when its first
+    content comes, so contents should come by bucket.
     """
 
     def __init__(self, folder: str, stage: str):
         self.folder, self.stage = folder, stage
+        self.bucket: str | None = None
+        self.known: dict[str, Outcome] = {}
+        self.out = None
+        self.opened = 0.0
 
-    def _at(self, content: str) -> tuple[arrow_fs.FileSystem, str]:
+    def _turn_to(self, bucket: str) -> str:
+        """The bucket's folder, whose outcomes are ``known`` now."""
         fs, root = located(self.folder)
-        digest = hashlib.sha256(content.encode()).hexdigest()
-        return fs, f"{root}/{self.stage}/{digest[:2]}/{digest}.json"
+        at = f"{root}/{self.stage}/{bucket}"
+        if bucket != self.bucket:
+            self.close()
+            self.bucket, self.known = bucket, {}
+            for info in fs.get_file_info(arrow_fs.FileSelector(at, allow_not_found=True)):
+                with fs.open_input_stream(info.path) as f:
+                    # what follows the last line's end was broken off
+                    for line in f.read().split(b"\n")[:-1]:
+                        self._note(*json.loads(line))
+        return at
+
+    def _note(self, digest: str, *outcome) -> None:
+        made, before = Outcome(*outcome), self.known.get(digest, Outcome())
+        if (made.result is not None, made.attempts) > (before.result is not None, before.attempts):
+            self.known[digest] = made
 
     def get(self, content: str) -> Outcome:
-        fs, at = self._at(content)
-        if fs.get_file_info(at).type == arrow_fs.FileType.NotFound:
-            return Outcome()
-        with fs.open_input_stream(at) as f:
-            return Outcome(**json.loads(f.read()))
+        digest = _digest(content)
+        self._turn_to(digest[:BUCKET_DIGITS])
+        return self.known.get(digest, Outcome())
 
     def put(self, content: str, outcome: Outcome) -> None:
-        fs, at = self._at(content)
-        fs.create_dir(at.rpartition("/")[0], recursive=True)
-        aside = f"{at}.{uuid.uuid4().hex}"
-        with fs.open_output_stream(aside) as f:
-            f.write(json.dumps(asdict(outcome)).encode())
-        fs.move(aside, at)
+        digest = _digest(content)
+        at = self._turn_to(digest[:BUCKET_DIGITS])
+        if self.out is None:
+            fs, _ = located(self.folder)
+            fs.create_dir(at, recursive=True)
+            self.out, self.opened = fs.open_output_stream(f"{at}/{uuid.uuid4().hex}.jsonl"), time.monotonic()
+        self.out.write(json.dumps([digest, *astuple(outcome)]).encode() + b"\n")
+        self.out.flush()
+        self._note(digest, *astuple(outcome))
+        if time.monotonic() - self.opened >= OPEN_SECONDS:
+            self.close()
+
+    def close(self) -> None:
+        if self.out is not None:
+            self.out.close()
+            self.out = None
+
+
+def _digest(content: str) -> str:
+    return hashlib.sha256(content.encode()).hexdigest()
+
+
+def by_bucket(chunks: DataFrame, text: str) -> DataFrame:
+    """``chunks`` dealt and sorted by the memo's buckets, so that a content has one task, and a
+    bucket is read once; rows without text stay spread as they came."""
+    tasks = max(TASKS * chunks.sparkSession.sparkContext.defaultParallelism, int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    bucket = F.coalesce(F.substring(F.sha2(F.col(f"`{text}`"), 256), 1, BUCKET_DIGITS), F.spark_partition_id().cast("string"))
+    return chunks.withColumn(BUCKET, bucket).repartition(tasks, BUCKET).sortWithinPartitions(BUCKET).drop(BUCKET)
 
 
 def called(fn: Callable[[str], str], content: str, tries: int, wait: Callable[[int], float], memo: Memo | None) -> Outcome:
@@ -94,17 +139,21 @@ def transform_chunks(chunks: DataFrame, text: str, fn: Callable[[str], str], tri
     ``fn`` again.
     """
     pause = backoff or (lambda n: wait)
-    known = Memo(memo, stage) if memo else None
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            made = [Outcome(error="no text") if value is None else called(fn, value, tries, pause, known) for value in batch[text]]
-            columns = {c: pd.Series([getattr(o, c) for o in made], dtype=object if c in ("result", "error") else None) for c in RESULT_COLUMNS}
-            yield batch.reset_index(drop=True).assign(**columns).astype({"attempts": "int32", "elapsed": "float64"})
+        known = Memo(memo, stage) if memo else None
+        try:
+            for batch in batches:
+                made = [Outcome(error="no text") if value is None else called(fn, value, tries, pause, known) for value in batch[text]]
+                columns = {c: pd.Series([getattr(o, c) for o in made], dtype=object if c in ("result", "error") else None) for c in RESULT_COLUMNS}
+                yield batch.reset_index(drop=True).assign(**columns).astype({"attempts": "int32", "elapsed": "float64"})
+        finally:
+            if known:
+                known.close()
 
     ship(chunks.sparkSession)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chunks.schema)
-    return chunks.mapInPandas(run, f"{schema}, {RESULT}")
+    return (by_bucket(chunks, text) if memo else chunks).mapInPandas(run, f"{schema}, {RESULT}")
 
 
 #: What a call in JSON form answers with.
@@ -140,8 +189,8 @@ def draft_and_review(chunks: DataFrame, text: str, draft: Callable[[str], str],
     return reviewed.withColumn("final", F.coalesce("reviewed", "draft")).withColumn("review_error", F.when(~lost, F.col("review_error"))).drop("reviewed")
 
 
-def reviewed_texts(results: DataFrame, key: str, order: str, separator: str = "\n\n") -> DataFrame:
-    """``text``, ``parts``, ``failed`` of each key: what has a final text, in order; keys without any have no row."""
+def reviewed_texts(results: DataFrame, key: str, order: str, separator: str = "\n\n", more: Iterable[Column] = ()) -> DataFrame:
+    """``text``, ``parts``, ``failed`` of each key, and ``more`` aggregates: what has a final text, in order; keys without any have no row."""
     parts = F.sort_array(F.collect_list(F.when(F.col("final").isNotNull(), F.struct(F.col(order).alias("o"), F.col("final").alias("t")))))
-    joined = results.groupBy(key).agg(F.array_join(F.transform(parts, lambda p: p["t"]), separator).alias("text"), F.count("final").alias("parts"), F.count_if(F.col("final").isNull()).alias("failed"))
+    joined = results.groupBy(key).agg(F.array_join(F.transform(parts, lambda p: p["t"]), separator).alias("text"), F.count("final").alias("parts"), F.count_if(F.col("final").isNull()).alias("failed"), *more)
     return joined.where("parts > 0")

@@ -551,8 +551,7 @@ def drafts_and_reviews(spark, d):  # U2, U4
     run = lambda: external.draft_and_review(rows, "t", draft, review, memo=memo)
     run().write.format("noop").mode("overwrite").save()
     done = run()  # nothing is called any more, and no try is added
-    tries = done.groupBy("conv_id").agg(F.sum(F.col("draft_tries") + F.col("review_tries")).alias("tries"))
-    return external.reviewed_texts(done, "conv_id", "turn").join(tries, "conv_id")
+    return external.reviewed_texts(done, "conv_id", "turn", more=[F.sum(F.col("draft_tries") + F.col("review_tries")).alias("tries")])
 
 
 @query("""
