@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import fold_of, read, ship, text_bytes
+from textloom.llm.common import fold_of, give_back, read, ship, text_bytes
 
 #: Bytes of words: digits, letters (A-Z as a-z), all beyond ASCII.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -163,7 +163,10 @@ def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     rows = sorted(((r["doc_id"], (r["text"] or "").encode(), r["toxic"]) for r in sample(docs, labels).limit(2 * (TOXIC_ROWS + CLEAN_ROWS)).collect()), key=lambda r: (r[0], r[1]))
-    return train([t for _, t, _ in rows], [x for _, _, x in rows])
+    model = train([t for _, t, _ in rows], [x for _, _, x in rows])
+    del rows
+    give_back()  # the driver lives on for as long as what follows takes
+    return model
 
 
 def score(docs: DataFrame, model: Model, with_row: bool = False) -> DataFrame:
