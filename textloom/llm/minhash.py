@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import Tables, read, safe_names, ship, text_bytes
+from textloom.llm.common import Tables, read, safe_names, ship, text_bytes, written
 from textloom.llm.components import bucket_components
 
 BANDS, ROWS = 24, 5
@@ -302,7 +302,8 @@ def one_of_each(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows that share a doc_id are one document and stay or go together; those without an
     id, and those without words, stay.  No rows: no rows.
     """
-    gone = near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    # written, so that the join knows how few they are: texts need no shuffle for a few ids
+    gone = written(near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct(), "gone")
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
